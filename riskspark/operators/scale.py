@@ -67,6 +67,30 @@ def fit_scaler(
     return Scaler(params)
 
 
+def scaler_from_moments(assets: DataFrame, minmax: Iterable[str], standard: Iterable[str]) -> Scaler:
+    """The scaler :func:`fit_scaler` would learn from all rows, from their per-asset moments.
+
+    Group means and squared deviations add up to the overall ones without loss of
+    accuracy: within-group deviation plus the spread of the group means.
+    """
+    minmax, standard = list(minmax), list(standard)
+    total = lambda c: F.sum(F.col(f"_{c}_avg") * F.col(f"_{c}_n")) / F.sum(f"_{c}_n")
+    ends = [F.min(f"_{c}_lo").alias(f"{c}|lo") for c in minmax] + [F.max(f"_{c}_hi").alias(f"{c}|hi") for c in minmax]
+    row = assets.agg(*ends, *[total(c).alias(f"{c}|mean") for c in standard]).first().asDict()
+    means = {c: row[f"{c}|mean"] for c in standard if row[f"{c}|mean"] is not None}
+    params = {
+        c: ("minmax", row[f"{c}|lo"], or_one(row[f"{c}|hi"] - row[f"{c}|lo"]))
+        for c in minmax
+        if row[f"{c}|lo"] is not None
+    }
+    if means:
+        between = lambda c: F.col(f"_{c}_n") * F.pow(F.col(f"_{c}_avg") - F.lit(means[c]), F.lit(2.0))
+        spread = lambda c: F.sqrt(F.sum(F.col(f"_{c}_dev") + between(c)) / F.sum(f"_{c}_n"))
+        row = assets.agg(*[spread(c).alias(c) for c in means]).first()
+        params |= {c: ("standard", m, or_one(row[c])) for c, m in means.items()}
+    return Scaler(params)
+
+
 def fit_robust(df: DataFrame, exclude: Iterable[str] = ()) -> Scaler:
     """Median and interquartile range of every number column, exact."""
     found = quantiles(df, {c: [0.25, 0.5, 0.75] for c in numeric_columns(df, exclude)})

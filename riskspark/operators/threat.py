@@ -265,12 +265,15 @@ def aggregate_assets(
     group_key: str = "asset_id",
     severities: Iterable[str] | None = None,
     approximate: bool = False,
+    moments: Iterable[str] = (),
 ) -> DataFrame:
     """One row per asset: the aggregate map, row and distinct counts, severity counts.
 
     Everything comes from a single aggregation. Spark spreads the distinct counts
     by (asset, value) first, so a huge asset is pre-aggregated in many tasks.
     ``severities`` fixes the severity columns; by default they are the observed words.
+    ``moments`` adds count, mean, squared deviation, minimum and maximum of the named
+    columns (``_<column>_n`` and so on) for a scaler fitted afterwards.
     """
     if group_key not in df.columns:
         raise ValueError(f"group_key '{group_key}' not found in DataFrame.")
@@ -288,4 +291,13 @@ def aggregate_assets(
     if "severity" in df.columns:
         words = observed_severities(df) if severities is None else severities
         columns += [F.count_if(F.col("severity") == w).alias(f"sev_count_{w}") for w in words]
+    for c in moments:
+        value = F.col(c).cast("double")
+        columns += [
+            F.count(value).alias(f"_{c}_n"),
+            F.avg(value).alias(f"_{c}_avg"),
+            (F.var_pop(value) * F.count(value)).alias(f"_{c}_dev"),
+            F.min(value).alias(f"_{c}_lo"),
+            F.max(value).alias(f"_{c}_hi"),
+        ]
     return df.where(F.col(group_key).isNotNull()).groupBy(group_key).agg(*columns)
