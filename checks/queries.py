@@ -44,7 +44,8 @@ def engineered(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rolled(spark: SparkSession, d: str) -> DataFrame:
-    return threat.aggregate_assets(engineered(spark, d), severities=C.SEVERITIES)
+    rows = materialize(jobs.clean_threats(P.threats(spark, d), P.AS_OF, TIES, jobs.ROLLED_UP), "clean")
+    return threat.aggregate_assets(threat.engineer_threats(rows, P.AS_OF), severities=C.SEVERITIES)
 
 
 def priced(spark: SparkSession, d: str) -> DataFrame:

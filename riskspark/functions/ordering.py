@@ -32,14 +32,19 @@ def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def running_total(
-    table: DataFrame, weight: str, order: str = "value", group: str = "name", small: int = SMALL_DISTINCT
+    table: DataFrame,
+    weight: str,
+    order: str = "value",
+    group: str = "name",
+    small: int = SMALL_DISTINCT,
+    few: bool | None = None,
 ) -> DataFrame:
     """Add ``before``: the sum of ``weight`` over smaller ``order`` values of the same group.
 
-    ``table`` must hold distinct (group, order) pairs and be a written table, as
-    it is read twice and both reads have to agree on the ranges.
+    ``table`` must hold distinct (group, order) pairs and be a written table. ``few``
+    tells whether it holds at most ``small`` rows, if the caller has counted already.
     """
-    if is_small(table, small):
+    if is_small(table, small) if few is None else few:
         below = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return table.withColumn("before", F.coalesce(F.sum(weight).over(below), F.lit(0)))
 
@@ -72,7 +77,9 @@ def quantiles(
     if not wanted:
         return out
     counts = materialize(value_counts(df, wanted), "counts")
-    sizes = {r["name"]: r["rows"] for r in counts.groupBy("name").agg(F.sum("n").alias("rows")).collect()}
+    totals = counts.groupBy("name").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct")).collect()
+    sizes = {r["name"]: r["rows"] for r in totals}
+    few = sum(r["distinct"] for r in totals) <= small
     places = {(c, p): (sizes[c] - 1) * p for c, ps in wanted.items() if c in sizes for p in ps}
     if not places:
         return out
@@ -83,7 +90,7 @@ def quantiles(
     spark = df.sparkSession
     targets = spark.createDataFrame([(c, r) for c, rs in ranks.items() for r in sorted(rs)], "name string, rank long")
     hits = (
-        running_total(counts, "n", small=small)
+        running_total(counts, "n", few=few)
         .join(F.broadcast(targets), "name")
         .where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
         .select("name", "rank", "value")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark import constants as C
 from riskspark.functions.columns import numeric_columns, present
 from riskspark.functions.ordering import SMALL_DISTINCT, medians, running_total
-from riskspark.session import is_small, materialize
+from riskspark.session import BROADCAST_ROWS, is_small, materialize
 
 
 @dataclass
@@ -20,48 +20,52 @@ class NeighbourModel:
 
     With two columns a row that misses one sees the others only through the
     column it has, so the search is along one line: donors collapse to one row
-    per distinct value, however many rows share it.
+    per distinct value, however many rows share it. ``donors`` holds both
+    directions: (name = column to fill, value = known neighbour, n, total).
     """
 
     pair: tuple[str, str]
     k: int
     means: dict[str, float | None]
-    donors: dict[str, DataFrame] = field(repr=False)
+    donors: DataFrame = field(repr=False)
     small: int = SMALL_DISTINCT
+    broadcast_rows: int = BROADCAST_ROWS
 
-    def fill_table(self, df: DataFrame, target: str, given: str) -> DataFrame:
-        """(key, fill) for every value of ``given`` that occurs next to a missing ``target``."""
-        wanted = df.where(F.col(target).isNull() & F.col(given).isNotNull())
-        asked = wanted.select(F.col(given).cast("double").alias("value")).distinct()
+    def fill_table(self, df: DataFrame) -> DataFrame:
+        """(name, key, fill) for every known value that occurs next to a missing one."""
+        a, b = self.pair
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        gap = F.when(x.isNull(), F.struct(F.lit(a).alias("name"), y.alias("value"))).otherwise(
+            F.struct(F.lit(b).alias("name"), x.alias("value"))
+        )
+        asked = df.where(x.isNull() != y.isNull()).select(gap.alias("g")).select("g.*").distinct()
         merged = (
-            self.donors[target]
-            .withColumn("asked", F.lit(False))
+            self.donors.withColumn("asked", F.lit(False))
             .unionByName(asked.withColumn("asked", F.lit(True)), allowMissingColumns=True)
-            .groupBy("value")
+            .groupBy("name", "value")
             .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("asked").alias("asked"))
-            .withColumns({"name": F.lit(target), "is_donor": F.col("n").isNotNull().cast("int")})
+            .withColumn("is_donor", F.col("n").isNotNull().cast("int"))
         )
-        ranked = materialize(
-            running_total(materialize(merged, "keys"), "is_donor", small=self.small), "ranked"
-        ).withColumn("place", F.col("before") + F.col("is_donor"))
-
+        ranked = running_total(materialize(merged, "keys"), "is_donor", small=self.small)
+        ranked = ranked.withColumn("place", F.col("before") + F.col("is_donor"))
         donors = ranked.where("is_donor = 1").select(
-            F.col("place").alias("near"), F.col("value").alias("donor"), "n", "total"
+            "name", F.col("place").alias("near"), F.col("value").alias("donor"), "n", "total"
         )
         # k distinct donor values on each side always contain the k nearest rows.
         near = F.explode(F.sequence(F.col("place") - (self.k - 1), F.col("place") + self.k))
         pairs = (
             ranked.where("asked")
-            .select("value", near.alias("near"))
-            .join(donors, "near")
+            .select("name", "value", near.alias("near"))
+            .join(donors, ["name", "near"])
             .withColumn("gap", F.abs(F.col("donor") - F.col("value")))
         )
-        closest = Window.partitionBy("value").orderBy("gap", "donor").rowsBetween(Window.unboundedPreceding, -1)
+        closest = (
+            Window.partitionBy("name", "value").orderBy("gap", "donor").rowsBetween(Window.unboundedPreceding, -1)
+        )
         left = self.k - F.coalesce(F.sum("n").over(closest), F.lit(0))
-        take = F.greatest(F.least(F.col("n"), left), F.lit(0))
         filled = (
-            pairs.withColumn("take", take)
-            .groupBy("value")
+            pairs.withColumn("take", F.greatest(F.least(F.col("n"), left), F.lit(0)))
+            .groupBy("name", "value")
             .agg((F.sum(F.col("take") * F.col("total") / F.col("n")) / F.sum("take")).alias("fill"))
         )
         return materialize(filled.withColumnRenamed("value", "key"), "fill")
@@ -69,41 +73,48 @@ class NeighbourModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """Fill both columns; rows that miss both get the column means."""
         a, b = self.pair
-        out = df.withColumns({f"_{c}": F.col(c).cast("double") for c in self.pair})
-        for target, given in ((a, b), (b, a)):
-            if self.means[target] is None:
-                continue
-            fills = self.fill_table(df, target, given)
-            asks = F.col(f"_{target}").isNull() & F.col(f"_{given}").isNotNull()
-            name = f"_fill_{target}"
-            table = fills.select(F.col("key").alias(f"_key_{target}"), F.col("fill").alias(name))
-            match = F.col(f"_{given}") == F.col(f"_key_{target}")
-            if is_small(fills):
-                out = out.join(F.broadcast(table), asks & match, "left")
-            else:
-                # Only the rows with a gap are shuffled; complete rows share no key and stay put.
-                gaps = out.where(asks).join(table, match, "left")
-                out = out.where(~asks).unionByName(gaps, allowMissingColumns=True)
-            both = F.col(f"_{a}").isNull() & F.col(f"_{b}").isNull()
-            fill = F.when(both, F.lit(self.means[target])).otherwise(F.col(name))
-            out = out.withColumn(target, F.coalesce(F.col(f"_{target}"), fill)).drop(name, f"_key_{target}")
-        return out.drop(*[f"_{c}" for c in self.pair])
+        fills = self.fill_table(df)
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        one_gap = x.isNull() != y.isNull()
+        asks = df.withColumns(
+            {
+                "_name": F.when(one_gap, F.when(x.isNull(), F.lit(a)).otherwise(F.lit(b))),
+                "_key": F.when(one_gap, F.coalesce(x, y)),
+            }
+        )
+        table = fills.select(F.col("name").alias("_name"), F.col("key").alias("_key"), F.col("fill").alias("_fill"))
+        if is_small(fills, self.broadcast_rows):
+            joined = asks.join(F.broadcast(table), ["_name", "_key"], "left")
+        else:
+            # Only the rows with a gap are shuffled; complete rows have no key and stay put.
+            gaps = asks.where(one_gap).join(table, ["_name", "_key"], "left")
+            joined = asks.where(~one_gap).unionByName(gaps, allowMissingColumns=True)
+        both = x.isNull() & y.isNull()
+        new = {
+            c: F.coalesce(e, F.when(both, F.lit(self.means[c]).cast("double")).otherwise(F.col("_fill")))
+            for c, e in ((a, x), (b, y))
+        }
+        return joined.withColumns(new).select(*df.columns)
 
 
 def fit_neighbours(
     df: DataFrame, pair: tuple[str, str] = tuple(C.NEIGHBOUR_COLUMNS), k: int = 5, small: int = SMALL_DISTINCT
 ) -> NeighbourModel:
-    """Learn donor values (rows with both columns) and column means."""
+    """Learn donor values (rows with both columns, both directions in one pass) and column means."""
+    a, b = pair
     both = df.select(*[F.col(c).cast("double").alias(c) for c in pair])
     means = both.agg(*[F.avg(c).alias(c) for c in pair]).first().asDict()
-    complete = both.where(F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull())
-    donors = {}
-    for target, given in (pair, pair[::-1]):
-        grouped = complete.groupBy(F.col(given).alias("value")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(target).alias("total")
-        )
-        donors[target] = materialize(grouped, "donors")
-    return NeighbourModel(tuple(pair), k, means, donors, small)
+
+    def side(target: str, given: str) -> Column:
+        return F.struct(F.lit(target).alias("name"), F.col(given).alias("value"), F.col(target).alias("known"))
+
+    complete = both.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    grouped = (
+        complete.select(F.explode(F.array(side(a, b), side(b, a))).alias("s"))
+        .groupBy("s.name", "s.value")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("s.known").alias("total"))
+    )
+    return NeighbourModel(tuple(pair), k, means, materialize(grouped, "donors"), small)
 
 
 @dataclass(frozen=True)

@@ -103,19 +103,19 @@ def robust_scale(df: DataFrame, exclude: Iterable[str] = ()) -> tuple[DataFrame,
     return scaler.transform(df), scaler
 
 
-def rescale_aggregates(assets: DataFrame, scaler: Scaler, counts: dict[str, str]) -> DataFrame:
+def rescale_aggregates(assets: DataFrame, scaler: Scaler) -> DataFrame:
     """Per-asset aggregates of the scaled rows, from the aggregates of the unscaled rows.
 
     Scaling is a rising straight line per column, so min, max and mean move with
     it and a sum of n values becomes (sum - n * shift) / scale. This saves the
     pass over all rows that fitting and scaling before the roll-up would cost.
-    ``counts`` names the column with the number of non-null values per source column.
+    Sums need the number of non-null values, ``_<column>_n``.
     """
     new = {}
     for source, (_, shift, scale) in scaler.params.items():
         for fn in C.ASSET_AGGREGATES.get(source, []):
             name = f"{source}_{fn}"
             if name in assets.columns:
-                base = F.col(counts[source]) * F.lit(shift) if fn == "sum" else F.lit(shift)
+                base = F.col(f"_{source}_n") * F.lit(shift) if fn == "sum" else F.lit(shift)
                 new[name] = (F.col(name) - base) / F.lit(scale)
     return assets.withColumns(new)

@@ -128,8 +128,9 @@ def deduplicate(
     keys = present(df, keys)
     ties = list(tie_break) if tie_break is not None else sorted(set(df.columns) - {*keys, newest})
     order = [F.col(c).desc_nulls_last() for c in present(df, [newest]) + ties]
-    numbered = df.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return numbered.where(F.col("_row") == 1).drop("_row")
+    # The hash in front only speeds up the sort: it decides most comparisons in one step.
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
+    return df.withColumn("_row", F.row_number().over(window)).where(F.col("_row") == 1).drop("_row")
 
 
 @dataclass(frozen=True)
@@ -254,6 +255,10 @@ _REDUCERS = {
 }
 
 
+# --- fixed values: counted without repeats ---
+DISTINCT_COUNTS = {"cve_id": "unique_cve_count", "threat_actor": "unique_threat_actor_count"}
+
+
 def observed_severities(df: DataFrame) -> list[str]:
     """The severity words in a table (a handful; each task sends its distinct words only)."""
     rows = df.where(F.col("severity").isNotNull()).select("severity").distinct().collect()
@@ -265,18 +270,23 @@ def aggregate_assets(
     group_key: str = "asset_id",
     severities: Iterable[str] | None = None,
     approximate: bool = False,
+    ends: Iterable[str] = (),
     moments: Iterable[str] = (),
 ) -> DataFrame:
     """One row per asset: the aggregate map, row and distinct counts, severity counts.
 
-    Everything comes from a single aggregation. Spark spreads the distinct counts
-    by (asset, value) first, so a huge asset is pre-aggregated in many tasks.
+    Distinct counts are taken from narrow (asset, value) pairs and joined to the
+    main aggregate. In one aggregate Spark would have to group by both and carry
+    every buffer through a shuffle of nearly all rows. Pairs are spread by asset
+    and value, so a huge asset is counted in many tasks. As ``df`` is read once per
+    branch, pass a written table or cheap projections of one.
     ``severities`` fixes the severity columns; by default they are the observed words.
-    ``moments`` adds count, mean, squared deviation, minimum and maximum of the named
-    columns (``_<column>_n`` and so on) for a scaler fitted afterwards.
+    ``ends`` adds minimum and maximum (``_<column>_lo``, ``_hi``), ``moments`` count, mean
+    and squared deviation (``_n``, ``_avg``, ``_dev``) for a scaler fitted afterwards.
     """
     if group_key not in df.columns:
         raise ValueError(f"group_key '{group_key}' not found in DataFrame.")
+    rows = df.where(F.col(group_key).isNotNull())
     columns = [
         _REDUCERS[fn](F.col(c)).alias(f"{c}_{fn}")
         for c, fns in C.ASSET_AGGREGATES.items()
@@ -284,20 +294,26 @@ def aggregate_assets(
         for fn in fns
     ]
     columns.append(F.count(F.lit(1)).alias("vuln_count"))
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    for c, name in (("cve_id", "unique_cve_count"), ("threat_actor", "unique_threat_actor_count")):
-        if c in df.columns:
-            columns.append(distinct(F.col(c)).alias(name))
+    distinct = {c: n for c, n in DISTINCT_COUNTS.items() if c in df.columns}
+    if approximate:
+        columns += [F.approx_count_distinct(c).alias(n) for c, n in distinct.items()]
+    severity_columns = []
     if "severity" in df.columns:
         words = observed_severities(df) if severities is None else severities
+        severity_columns = [f"sev_count_{w}" for w in words]
         columns += [F.count_if(F.col("severity") == w).alias(f"sev_count_{w}") for w in words]
+    for c in ends:
+        columns += [F.min(F.col(c)).alias(f"_{c}_lo"), F.max(F.col(c)).alias(f"_{c}_hi")]
     for c in moments:
-        value = F.col(c).cast("double")
-        columns += [
-            F.count(value).alias(f"_{c}_n"),
-            F.avg(value).alias(f"_{c}_avg"),
-            (F.var_pop(value) * F.count(value)).alias(f"_{c}_dev"),
-            F.min(value).alias(f"_{c}_lo"),
-            F.max(value).alias(f"_{c}_hi"),
-        ]
-    return df.where(F.col(group_key).isNotNull()).groupBy(group_key).agg(*columns)
+        dev = F.var_pop(F.col(c)) * F.count(F.col(c))
+        columns += [F.count(F.col(c)).alias(f"_{c}_n"), F.avg(F.col(c)).alias(f"_{c}_avg"), dev.alias(f"_{c}_dev")]
+    out = rows.groupBy(group_key).agg(*columns)
+    if approximate or not distinct:
+        return out
+    for c, name in distinct.items():
+        pairs = rows.where(F.col(c).isNotNull()).select(group_key, c).distinct()
+        counts = pairs.groupBy(group_key).agg(F.count(F.lit(1)).alias(name))
+        out = out.join(counts, group_key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    last = [*severity_columns, *[c for c in out.columns if c.startswith("_")]]
+    names = list(distinct.values())
+    return out.select(*[c for c in out.columns if c not in {*names, *last}], *names, *last)

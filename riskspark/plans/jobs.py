@@ -20,10 +20,23 @@ from riskspark.sources import tables
 # --- threat ----------------------------------------------------------------------
 
 
-def clean_threats(raw: DataFrame, as_of: str, tie_break: Iterable[str] | None = None) -> DataFrame:
-    """Validated, typed rows with one row per dedup key."""
+def clean_threats(
+    raw: DataFrame, as_of: str, tie_break: Iterable[str] | None = None, keep: Iterable[str] | None = None
+) -> DataFrame:
+    """Validated, typed rows with one row per dedup key; ``keep`` narrows the rows before their shuffle."""
     accepted, _ = threat.validate_threats(raw, as_of)
-    return threat.deduplicate(threat.coerce_types(accepted), tie_break=tie_break)
+    typed = threat.coerce_types(accepted)
+    if keep is not None:
+        typed = typed.select(*present(typed, dict.fromkeys([*keep, *(tie_break or [])])))
+    return threat.deduplicate(typed, tie_break=tie_break)
+
+
+# What the roll-up reads, directly or through derived columns.
+ROLLED_UP = [
+    *C.DEDUP_KEYS, "last_seen", "cvss_score", "epss_score", "severity", "attack_vector", "kev_listed", "exploit_count",
+    "affected_systems_count", "published_date", "first_seen", "days_since_published", "days_since_first_seen",
+    "days_active", "threat_actor",
+]
 
 
 def threat_job(
@@ -37,21 +50,23 @@ def threat_job(
     """Raw vulnerability rows to one row per asset.
 
     The deduplicated rows are written once, since the imputer and the roll-up both
-    read them. Outlier flags never reach the asset row and are not computed, counts
+    read them; columns nobody reads are left out before the shuffle (rows that tie on
+    all others are interchangeable). Outlier flags never reach the asset row and are not computed, counts
     hold no gaps after cleaning and need no median pass. Rows are rolled up before
     scaling: the scaler is learned from the per-asset moments and applied to the
     aggregates, which gives the same values as scaling every row first and saves
     two passes over all rows.
     """
-    clean = materialize(clean_threats(raw, as_of, tie_break), "clean")
+    clean = materialize(clean_threats(raw, as_of, tie_break, ROLLED_UP), "clean")
     imputer = impute.fit_imputer(clean, k, median_columns=())
     rows = threat.engineer_threats(imputer.transform(clean), as_of)
     if not normalize:
         return threat.aggregate_assets(rows, severities=severities)
-    scaled = present(rows, C.MINMAX_COLUMNS + C.STANDARD_COLUMNS)
-    rolled = materialize(threat.aggregate_assets(rows, severities=severities, moments=scaled), "rolled")
-    scaler = scale.scaler_from_moments(rolled, present(rows, C.MINMAX_COLUMNS), present(rows, C.STANDARD_COLUMNS))
-    out = scale.rescale_aggregates(rolled, scaler, {c: f"_{c}_n" for c in scaled})
+    minmax, standard = present(rows, C.MINMAX_COLUMNS), present(rows, C.STANDARD_COLUMNS)
+    rolled = threat.aggregate_assets(rows, severities=severities, ends=minmax, moments=standard)
+    rolled = materialize(rolled, "rolled")
+    scaler = scale.scaler_from_moments(rolled, minmax, standard)
+    out = scale.rescale_aggregates(rolled, scaler)
     return out.select(*[c for c in out.columns if not c.startswith("_")])
 
 
