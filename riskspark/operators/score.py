@@ -135,17 +135,15 @@ def confidence_score(predicted: Column, doubt: Column, mae: float) -> Column:
 
 
 def check_thresholds(raw: Mapping[str, Any]) -> dict[str, float]:
-    """The four level bounds, non-negative and rising."""
+    """The four level bounds, non-negative and never falling."""
     given = raw.get("thresholds", raw)
     missing = [k for k in C.RISK_LABELS if k not in given]
     if missing:
         raise PredictionError("Missing risk threshold(s): " + ", ".join(missing))
     bounds = {k: float(given[k]) for k in C.RISK_LABELS}
     values = list(bounds.values())
-    if min(values) < 0:
-        raise PredictionError("Risk thresholds must be non-negative.")
-    if any(a >= b for a, b in zip(values, values[1:], strict=False)):
-        raise PredictionError("Risk thresholds must be increasing.")
+    if any(v != v or v < 0 for v in values) or values != sorted(values):
+        raise PredictionError("Risk thresholds must be non-negative and increasing.")
     return bounds
 
 
