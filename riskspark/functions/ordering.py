@@ -8,7 +8,7 @@ ever meet in a single task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from riskspark.session import is_small, lookup, materialize
 
 # Up to this many distinct values, counted beforehand, a plain window per column is used.
 SMALL_DISTINCT = 200_000
+# Tables estimated above this size get their quantiles bracketed first.
+DIRECT_BYTES = 10 << 30
 
 
 def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -66,42 +68,115 @@ def running_total(
 
 
 def quantiles(
-    df: DataFrame, wanted: Mapping[str, Iterable[float]], small: int = SMALL_DISTINCT
+    df: DataFrame,
+    wanted: Mapping[str, Iterable[float]],
+    small: int = SMALL_DISTINCT,
+    direct_bytes: int = DIRECT_BYTES,
 ) -> dict[str, dict[float, float | None]]:
     """Exact linear-interpolated quantiles of several columns.
 
-    Returns ``{column: {p: value}}``; a column without values gives None.
+    Returns ``{column: {p: value}}``; a column without values gives None. Large
+    tables are first narrowed to the neighbourhood of each quantile, so that their
+    distinct values need not be shuffled.
     """
     wanted = {c: [float(p) for p in ps] for c, ps in wanted.items()}
-    out: dict[str, dict[float, float | None]] = {c: {p: None for p in ps} for c, ps in wanted.items()}
+    found: dict[str, dict[float, float | None]] = {c: {p: None for p in ps} for c, ps in wanted.items()}
     if not wanted:
-        return out
-    counts = materialize(value_counts(df, wanted), "counts")
-    totals = counts.groupBy("name").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct")).collect()
-    sizes = {r["name"]: r["rows"] for r in totals}
-    few = sum(r["distinct"] for r in totals) <= small
-    places = {(c, p): (sizes[c] - 1) * p for c, ps in wanted.items() if c in sizes for p in ps}
-    if not places:
-        return out
-
-    ranks: dict[str, set[int]] = {}
-    for (c, _), place in places.items():
-        ranks.setdefault(c, set()).update({int(place), min(int(place) + 1, sizes[c] - 1)})
-    spark = df.sparkSession
-    targets = spark.createDataFrame([(c, r) for c, rs in ranks.items() for r in sorted(rs)], "name string, rank long")
+        return found
+    direct = wanted
+    if estimated_bytes(df) > direct_bytes:
+        narrowed = _narrowed_quantiles(df, wanted, small)
+        direct = {c: ps for c, ps in wanted.items() if c not in narrowed}
+        found |= narrowed
+    if direct:
+        counts = materialize(value_counts(df, direct), "counts")
+        totals = counts.groupBy("name").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct")).collect()
+        sizes = {r["name"]: r["rows"] for r in totals}
+        few = sum(r["distinct"] for r in totals) <= small
+        needed = {(c, r) for c, n in sizes.items() for p in direct[c] for r in _ranks(n, p)}
+        at = _values_at(running_total(counts, "n", few=few), needed)
+        for c, n in sizes.items():
+            found[c] = {p: _interpolated(n, p, lambda r, c=c: at[c, r]) for p in direct[c]}
+    return found
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan, without running anything."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _ranks(rows: int, p: float) -> tuple[int, int]:
+    low = int((rows - 1) * p)
+    return low, min(low + 1, rows - 1)
+
+
+def _interpolated(rows: int, p: float, value_at: Callable[[int], float]) -> float:
+    low, high = _ranks(rows, p)
+    a, b = value_at(low), value_at(high)
+    return a + (b - a) * ((rows - 1) * p - low)
+
+
+def _values_at(ranked: DataFrame, needed: Iterable[tuple[str, int]]) -> dict[tuple[str, int], float]:
+    """The value at each (name, rank): one or two rows per quantile."""
+    needed = sorted(needed)
+    if not needed:
+        return {}
+    targets = ranked.sparkSession.createDataFrame(needed, "name string, rank long")
     hits = (
-        running_total(counts, "n", few=few)
-        .join(F.broadcast(targets), "name")
+        ranked.join(F.broadcast(targets), "name")
         .where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
         .select("name", "rank", "value")
         .collect()
     )
-    at = {(r["name"], r["rank"]): r["value"] for r in hits}
-    for (c, p), place in places.items():
-        low = int(place)
-        a, b = at[c, low], at[c, min(low + 1, sizes[c] - 1)]
-        out[c][p] = a + (b - a) * (place - low)
-    return out
+    return {(r["name"], r["rank"]): r["value"] for r in hits}
+
+
+def _narrowed_quantiles(
+    df: DataFrame, wanted: Mapping[str, list[float]], small: int, accuracy: int = 10_000
+) -> dict[str, dict[float, float | None]]:
+    """Exact quantiles from the values near each one; columns where that failed are left out.
+
+    A first pass of bounded sketches brackets every quantile, a second one counts
+    the rows below each bracket, a third collapses the rows inside. No pass shuffles
+    more than the brackets hold. If a bracket misses its ranks the column is not
+    answered here and takes the direct way.
+    """
+    margin = 3.0 / accuracy
+    marks = {c: [q for p in ps for q in (max(p - margin, 0.0), min(p + margin, 1.0))] for c, ps in wanted.items()}
+    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in wanted}
+    first = df.agg(
+        *[F.count(known[c]).alias(f"{c}|n") for c in wanted],
+        *[F.percentile_approx(known[c], marks[c], accuracy).alias(f"{c}|m") for c in wanted],
+    ).first()
+    brackets = []  # (group, column, p, low, high)
+    for c, ps in wanted.items():
+        if first[f"{c}|n"]:
+            edges = first[f"{c}|m"]
+            brackets += [(f"{c}|{i}", c, p, edges[2 * i], edges[2 * i + 1]) for i, p in enumerate(ps)]
+    if not brackets:
+        return {}
+    below = df.agg(*[F.count_if(known[c] < F.lit(low)).alias(g) for g, c, _, low, _ in brackets]).first()
+    inside = F.array(
+        *[
+            F.when(known[c].between(low, high), F.struct(F.lit(g).alias("name"), known[c].alias("value")))
+            for g, c, _, low, high in brackets
+        ]
+    )
+    counts = (
+        df.select(F.explode(F.array_compact(inside)).alias("p"))
+        .groupBy("p.name", "p.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = running_total(materialize(counts, "brackets"), "n", small=small)
+    local = lambda g, c, r: (g, r - below[g])
+    needed = {local(g, c, r) for g, c, p, _, _ in brackets for r in _ranks(first[f"{c}|n"], p)}
+    at = _values_at(ranked, needed)
+    out: dict[str, dict[float, float | None]] = {}
+    for g, c, p, _, _ in brackets:
+        rows = first[f"{c}|n"]
+        if all(local(g, c, r) in at for r in _ranks(rows, p)):
+            out.setdefault(c, {})[p] = _interpolated(rows, p, lambda r, g=g, c=c: at[local(g, c, r)])
+    return {c: {p: out[c][p] for p in ps} for c, ps in wanted.items() if set(out.get(c, {})) >= set(ps)}
 
 
 def medians(df: DataFrame, columns: Iterable[str]) -> dict[str, float | None]:

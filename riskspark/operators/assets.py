@@ -291,25 +291,27 @@ def inventory_summary(enriched: DataFrame, rejected: DataFrame) -> DataFrame:
         ("exposure_score_distribution", "mean", round_even(F.avg(exposure), 4)),
         ("exposure_score_distribution", "max", round_even(F.max(exposure), 4)),
     ]
-    one = enriched.agg(n.alias("_accepted"), *[v.cast("double").alias(f"{s}|{i}") for s, i, v in wanted])
-    # Both sides of this join are single rows.
-    one = one.join(F.broadcast(rejected.agg(n.alias("_rejected"))), how="cross")
-    processed = F.col("_accepted") + F.col("_rejected")
-    meta = [
-        ("pipeline_metadata", "total_records_processed", processed),
-        ("pipeline_metadata", "accepted", F.col("_accepted")),
-        ("pipeline_metadata", "rejected", F.col("_rejected")),
-        (
-            "pipeline_metadata",
-            "pass_rate_pct",
-            round_even(F.col("_accepted") * 100 / F.greatest(processed, F.lit(1)), 2),
-        ),
-    ]
-    cells = meta + [(s, i, F.col(f"`{s}|{i}`")) for s, i, _ in wanted]
     entry = lambda s, i, v: F.struct(
         F.lit(s).alias("section"), F.lit(i).alias("item"), v.cast("double").alias("value")
     )
-    fixed = one.select(F.explode(F.array(*[entry(*c) for c in cells])).alias("e")).select("e.*")
+
+    def long(one_row: DataFrame, cells: list[tuple[str, str, Column]]) -> DataFrame:
+        return one_row.select(F.explode(F.array(*[entry(*c) for c in cells])).alias("e")).select("e.*")
+
+    stats = enriched.agg(*[v.cast("double").alias(f"{s}|{i}") for s, i, v in wanted])
+    fixed = long(stats, [(s, i, F.col(f"`{s}|{i}`")) for s, i, _ in wanted])
+
+    outcome = enriched.select(F.lit(1).alias("ok")).unionByName(rejected.select(F.lit(0).alias("ok")))
+    accepted, processed = F.col("accepted"), F.col("processed")
+    meta = long(
+        outcome.agg(F.coalesce(F.sum("ok"), F.lit(0)).alias("accepted"), n.alias("processed")),
+        [
+            ("pipeline_metadata", "total_records_processed", processed),
+            ("pipeline_metadata", "accepted", accepted),
+            ("pipeline_metadata", "rejected", processed - accepted),
+            ("pipeline_metadata", "pass_rate_pct", round_even(accepted * 100 / F.greatest(processed, F.lit(1)), 2)),
+        ],
+    )
 
     def counted(section: str, source: DataFrame) -> DataFrame:
         grouped = source.where(F.col("item").isNotNull()).groupBy("item").agg(n.cast("double").alias("value"))
@@ -317,7 +319,7 @@ def inventory_summary(enriched: DataFrame, rejected: DataFrame) -> DataFrame:
 
     types = counted("asset_type_distribution", enriched.select(F.col("asset_type").alias("item")))
     tools = counted("discovery_source", enriched.select(F.explode("discovered_by").alias("item")))
-    return fixed.unionByName(types).unionByName(tools)
+    return meta.unionByName(fixed).unionByName(types).unionByName(tools)
 
 
 def summary_to_dict(summary: DataFrame) -> dict[str, dict[str, float]]:

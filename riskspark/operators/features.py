@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from riskspark import constants as C
 from riskspark.functions.columns import clip, finite_or_null
 from riskspark.functions.ordering import SMALL_DISTINCT, average_percent_rank
+from riskspark.session import materialize
 
 
 def _known(df: DataFrame, name: str) -> Column:
@@ -96,13 +97,24 @@ def one_hot_encode(
     skip = {target, *exclude}
     kinds = (T.StringType, T.BooleanType)
     words = [f for f in df.schema.fields if isinstance(f.dataType, kinds) and f.name not in skip]
+    if not words:
+        return df
+    cells = F.array(
+        *[F.struct(F.lit(f.name).alias("name"), F.col(f.name).cast("string").alias("value")) for f in words]
+    )
+    found = df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct()
+    found = materialize(found, "values")
+    for row in found.groupBy("name").count().where(F.col("count") > max_values).collect():
+        raise ValueError(f"{row['name']} has more than {max_values} values; exclude it")
+    values: dict[str, list[str]] = {}
+    for row in found.collect():
+        values.setdefault(row["name"], []).append(row["value"])
     encoded: list[Column] = []
     for f in words:
-        found = df.select(f.name).where(F.col(f.name).isNotNull()).distinct().limit(max_values + 1).collect()
-        if len(found) > max_values:
-            raise ValueError(f"{f.name} has more than {max_values} values; exclude it")
-        for value in sorted(r[0] for r in found):
-            encoded.append(F.coalesce(F.col(f.name) == F.lit(value), F.lit(False)).alias(f"{f.name}_{value}"))
+        label = str.title if isinstance(f.dataType, T.BooleanType) else str
+        for value in sorted(values.get(f.name, [])):
+            hit = F.coalesce(F.col(f.name).cast("string") == F.lit(value), F.lit(False))
+            encoded.append(hit.alias(f"{f.name}_{label(value)}"))
         encoded.append(F.col(f.name).isNull().alias(f"{f.name}_nan"))
     gone = {f.name for f in words}
     return df.select(*[c for c in df.columns if c not in gone], *encoded)

@@ -259,10 +259,12 @@ _REDUCERS = {
 DISTINCT_COUNTS = {"cve_id": "unique_cve_count", "threat_actor": "unique_threat_actor_count"}
 
 
-def observed_severities(df: DataFrame) -> list[str]:
-    """The severity words in a table (a handful; each task sends its distinct words only)."""
-    rows = df.where(F.col("severity").isNotNull()).select("severity").distinct().collect()
-    return sorted(r["severity"] for r in rows)
+def observed_severities(df: DataFrame, most: int = 1000) -> list[str]:
+    """The severity words in a table. They become columns, so free text is refused instead of being cut."""
+    found = df.where(F.col("severity").isNotNull()).select("severity").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"severity has more than {most} values; pass the ones to count")
+    return sorted(r["severity"] for r in found)
 
 
 def aggregate_assets(

@@ -191,9 +191,12 @@ def ml_job(
     selection: Mapping[str, Any] | None = None,
     training: Mapping[str, Any] | None = None,
 ) -> MlResult:
-    """Check, profile, engineer, select, train and save."""
+    """Check, profile, engineer, select, train and save.
+
+    The table (one row per asset) is written first, as checks and profiles pass over it several times.
+    """
     spark = df.sparkSession
-    data = tables.with_target(df, target, source_target)
+    data = materialize(tables.with_target(df, target, source_target), "model-table")
     profile.validate_schema(data, target, id_column)
     profiled = profile.profile_table(data, target)
     quality = profile.quality_report(data, target, id_column)
@@ -222,6 +225,7 @@ def ml_job(
             "feature_list": {"features": selected, "target": target},
             "feature_profiles": profiles,
             "tuning": result.tuning,
+            "training_config": {"target": target, "selection": selection or {}, "training": training or {}},
         }.items():
             tables.write_json_report(spark, content, f"{output}/{name}.json")
         profiled.coalesce(1).write.mode("overwrite").json(f"{output}/data_profile")

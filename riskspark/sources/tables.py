@@ -96,8 +96,8 @@ def read_assets(spark: SparkSession, path: str, fmt: str | None = None, **option
         return spark.read.options(**options).parquet(path)
     if name == "csv":
         return spark.read.options(**options).csv(path, header=True, escape='"')
-    first = spark.read.text(path, wholetext=True).select(F.substring(F.ltrim("value"), 1, 1)).first()
-    if first and first[0] != "[":
+    first = spark.read.text(path).select(F.ltrim("value").alias("line")).where("line <> ''").first()
+    if first and not first["line"].startswith("["):
         raise ValueError("Expected a JSON array at the top level")
     return spark.read.options(**options).schema(RAW_ASSET_SCHEMA).json(path, multiLine=True)
 

@@ -222,6 +222,29 @@ def test_train_select_save_load_and_predict(spark, model_rows, tmp_path):
     assert train.sample_grid({"x": [1, 2, 3]}, 2, 7) == train.sample_grid({"x": [1, 2, 3]}, 2, 7)
 
 
+def test_ml_job(spark, tmp_path):
+    i = F.col("id")
+    table = spark.range(120).select(
+        F.concat(F.lit("ASSET-"), i).alias("asset_id"), (i % 19 / 19.0).alias("cvss_score_max"), (i * 5 % 23 / 23.0).alias("epss_score_max"),
+        (i % 7 + 1).alias("vuln_count"), (i % 3 + 1).alias("unique_cve_count"), (i % 11).cast("double").alias("days_since_published_max"),
+        ((i % 19) * 1000 + i * 5 % 23 * 10).cast("double").alias(C.SOURCE_TARGET), F.lit("word").alias("note"),
+    )
+    out = str(tmp_path / "ml")
+    result = jobs.ml_job(
+        table, output=out, registry={"Linear Regression": train.model_registry()["Linear Regression"]},
+        selection=dict(trees=4, elimination_trees=3, depth=3, max_features=5), training=dict(folds=2, repeats=0, spaces={}),
+    )
+    assert result.training.best_name == "Linear Regression" and len(result.selected) == 5
+    assert not set(result.selected) & {*C.LEAKAGE_COLUMNS, "asset_id", "note"}
+    assert set(result.feature_profiles) == set(result.selected)
+    for name in ("model", "leaderboard", "prediction_intervals", "metrics.json", "feature_list.json", "data_profile", "training_config.json"):
+        assert tables.path_exists(spark, f"{out}/{name}")
+    wanted = features.build_cyber_features(table).select(*result.selected)
+    # Feature names such as vuln_count carry input rules the sample satisfies.
+    scored = jobs.predict_job(result, wanted, AS_OF)
+    assert scored.count() == 120 and scored.columns[-10:] == tables.PREDICTION_COLUMNS
+
+
 def test_simple_trainers(spark, model_rows):
     data = model_rows.drop("d")
     plain = train.train_regressor(data, C.TARGET, train.random_forest(5, 5))

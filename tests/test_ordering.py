@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskspark.functions import ordering as O
 from riskspark.operators.profile import correlations
@@ -25,12 +26,31 @@ def frame(spark, pdf):
 def test_quantiles_match_linear_interpolation(spark, small):
     pdf = sample()
     ps = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    got = O.quantiles(frame(spark, pdf), {c: ps for c in "abc"}, small=small)
+    got = O.quantiles(frame(spark, pdf), {c: ps for c in "abc"}, small=small, direct_bytes=1 << 80)
     for c in "abc":
         for p in ps:
             assert got[c][p] == pytest.approx(pdf[c].quantile(p), abs=1e-12)
 
 
+@pytest.mark.parametrize("small", SMALL)
+def test_quantiles_of_large_tables_are_bracketed_and_exact(spark, small):
+    pdf = sample(4, 3000)
+    ps = [0.0, 0.01, 0.05, 0.25, 0.5, 0.95, 0.99, 1.0]
+    df = frame(spark, pdf).withColumn("none", F.lit(None).cast("double"))
+    got = O.quantiles(df, {c: ps for c in ["a", "b", "c", "none"]}, small=small, direct_bytes=0)
+    for c in "abc":
+        assert [got[c][p] for p in ps] == pytest.approx([pdf[c].quantile(p) for p in ps], abs=1e-12)
+    assert set(got["none"].values()) == {None}
+
+
+def test_missed_brackets_take_the_direct_way(spark):
+    pdf = sample(6, 2000)
+    df = frame(spark, pdf)
+    rough = O._narrowed_quantiles(df, {"b": [0.5], "c": [0.5]}, O.SMALL_DISTINCT, accuracy=2)
+    assert rough.get("c") == {0.5: 3.0}
+    assert O.quantiles(df, {"b": [0.5]}, direct_bytes=0)["b"][0.5] == pytest.approx(pdf["b"].median())
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert O.quantiles(df, {"a": [0.5]}) == {"a": {0.5: None}}
