@@ -13,12 +13,6 @@ from riskspark import constants as C
 from riskspark.functions.columns import present, round_even, text_flag
 
 SERVICE = "struct<port:string,service:string,version:string>"
-ASSET_SCHEMA = (
-    "asset_id string, host string, domain string, ports array<int>, "
-    "services array<struct<port:int,service:string,version:string>>, tags array<string>, "
-    "discovered_by array<string>, internet_exposed boolean, last_seen timestamp"
-)
-
 # --- fixed values: patterns ------------------------------------------------------
 IPV4 = r"((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 LABEL = r"[a-zA-Z0-9]([a-zA-Z0-9\-]{0,61}[a-zA-Z0-9])?"

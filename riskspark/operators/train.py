@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import partial
 from itertools import product
 from typing import Any
 
@@ -20,7 +21,7 @@ from riskspark.functions.columns import numeric_columns
 from riskspark.functions.ordering import quantiles
 from riskspark.operators.features import hash_fold, hash_share
 from riskspark.operators.scale import Scaler, or_one
-from riskspark.session import materialize
+from riskspark.session import in_parallel, materialize
 
 MAX_DEPTH = 30  # the deepest tree MLlib builds; stands for "no limit"
 
@@ -207,15 +208,18 @@ def make_folds(df: DataFrame, features: list[str], folds: int, seed: int, key: s
     """Hash folds; preprocessing is fitted once per fold and shared by all models."""
     place = hash_fold(folds, seed, key)
     pairs = [(df.where(place != i), df.where(place == i)) for i in range(folds)]
-    return [Fold(train, test, fit_preprocessor(train, features)) for train, test in pairs]
+    fits = in_parallel(df.sparkSession, [partial(fit_preprocessor, train, features) for train, _ in pairs])
+    return [Fold(train, test, fit) for (train, test), fit in zip(pairs, fits, strict=True)]
 
 
-def cross_validate(folds: Iterable[Fold], features: list[str], target: str, estimator: Estimator) -> dict[str, float]:
-    """Mean rmse, mae and r2 over the folds."""
-    scores = []
-    for fold in folds:
+def cross_validate(folds: list[Fold], features: list[str], target: str, estimator: Estimator) -> dict[str, float]:
+    """Mean rmse, mae and r2 over the folds, which are fitted side by side."""
+
+    def judge(fold: Fold) -> dict[str, float]:
         model = fit_model(fold.train, features, target, estimator, fold.preprocessor)
-        scores.append(regression_metrics(model.predict(fold.test), target, "prediction", medians=False))
+        return regression_metrics(model.predict(fold.test), target, "prediction", medians=False)
+
+    scores = in_parallel(folds[0].train.sparkSession, [partial(judge, fold) for fold in folds])
     return {k: sum(s[k] for s in scores) / len(scores) for k in ("rmse", "mae", "r2")}
 
 

@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # A table is broadcast only after its rows were counted and found within this bound.
 BROADCAST_ROWS = 500_000
 
 
+# Folders made for applications that name none, as in tests.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app: str = "riskspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on (UTC, AQE)."""
     builder = (
@@ -36,10 +46,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is named."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="riskspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="riskspark-")
+    return _OWN_FOLDERS[application]
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -63,3 +75,9 @@ def lookup(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a written table holds at most ``limit`` rows (a count reads no column)."""
     return table.count() <= limit
+
+
+def in_parallel(spark: SparkSession, tasks: Iterable[Callable[[], T]], parallelism: int = 4) -> list[T]:
+    """Run independent Spark actions (such as the fits of several folds) from a few driver threads, in order."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(lambda task: inheritable_thread_target(spark)(task)(), list(tasks))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark import constants as C
-from riskspark.functions.columns import lenient_double, present
+from riskspark.functions.columns import lenient_double, nan_to_null, present
 
 # Number columns of raw threat rows that no later step reads leniently itself.
 THREAT_NUMBERS = ["days_since_published", "days_since_first_seen", "days_active", "asset_exposure_score"]
@@ -38,15 +38,16 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None
 
     Prefer parquet or jsonl for large inputs: an array file is read by one task.
     With an explicit schema text formats need no extra pass to infer types.
+    NaN is read as null.
     """
     suffix = suffix_of(path)
     reader = spark.read.schema(schema) if schema else spark.read
     if suffix == ".parquet":
-        return reader.parquet(path)
+        return nan_to_null(reader.parquet(path))
     if suffix == ".csv":
-        return reader.csv(path, header=True, inferSchema=schema is None, escape='"')
+        return nan_to_null(reader.csv(path, header=True, inferSchema=schema is None, escape='"'))
     if suffix in {".json", ".jsonl"}:
-        return reader.json(path, multiLine=suffix == ".json")
+        return nan_to_null(reader.json(path, multiLine=suffix == ".json"))
     raise ValueError(f"Unsupported table format: {path}")
 
 

@@ -20,6 +20,11 @@ def test_write_and_read_back(spark, tmp_path, suffix):
     assert rows(tables.read_table(spark, path, "n long, t string"), "n")[0]["n"] == 1
 
 
+def test_nan_is_read_as_null(spark, tmp_path):
+    path = tables.write_table(spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, n int"), str(tmp_path / "n.parquet"))
+    assert [r["x"] for r in rows(tables.read_table(spark, path), "n")] == [None, 2.0]
+
+
 def test_json_array_and_unknown_formats(spark, tmp_path):
     path = put(tmp_path / "t.json", '[{"n": 1},\n {"n": 2}]')
     assert tables.read_table(spark, path).count() == 2
