@@ -124,7 +124,7 @@ def among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     bit = F.bitmap_bit_position(spot)
     byte = F.conv(F.hex(F.substring("_map", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     kept = rows.withColumn("_bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "_bucket")
-    return kept.where(F.shiftright(byte, F.lit(0)).bitwiseAND(F.shiftleft(F.lit(1), (bit % 8).cast("int"))) > 0).drop("_bucket", "_map")
+    return kept.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("_bucket", "_map")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
