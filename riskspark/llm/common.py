@@ -95,17 +95,21 @@ def per_batch(make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBa
     return run
 
 
-def with_rows(docs: DataFrame, id_col: str, text_col: str, tag: str) -> DataFrame:
-    """(row, id, text): a unique key per row.
+def keyed(docs: DataFrame, id_col: str, tag: str) -> DataFrame:
+    """``docs`` with a unique key per row, ``_row``.
 
     Unique ids serve as keys themselves. Where ids are null or repeated, the rows
     are numbered and written once, so that every later pass sees the same numbers.
     """
+    named = docs.withColumn("_row", F.col(id_col).cast("long"))
+    odd = named.groupBy("_row").count().where("_row is null or count > 1").limit(1).count()
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), tag) if odd else named
+
+
+def with_rows(docs: DataFrame, id_col: str, text_col: str, tag: str) -> DataFrame:
+    """(row, id, text) with a unique row key, see ``keyed``."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    odd = slim.groupBy("id").count().where("id is null or count > 1").limit(1).count()
-    if not odd:
-        return slim.select(F.col("id").alias("row"), "id", "text")
-    return materialize(slim.select(F.monotonically_increasing_id().alias("row"), "id", "text"), tag)
+    return keyed(slim, "id", tag).select(F.col("_row").alias("row"), "id", "text")
 
 
 def among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
