@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import bpe, chat, jaccard, toxicity
+from riskspark.llm import bpe, chains, chat, jaccard, suffix, toxicity
 from riskspark.llm.common import documents
 
 
+def op3_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = chains.repeated_passages(documents(spark, d))
+    return found.withColumnsRenamed({"id": "doc_id", "source_id": "source_doc_id", "start": "start_word", "end": "end_word", "source_start": "source_start_word", "source_end": "source_end_word"})
+
+
 def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, d)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
@@ -37,11 +42,17 @@ def op9_bpe(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> DataFr
     return bpe.encode(documents(spark, d), Path(vocabulary).read_text(encoding="utf-8"), digest=True).withColumnRenamed("id", "doc_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix.digests(documents(spark, d)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_bpe": op9_bpe,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 JACCARD_SQL = """
