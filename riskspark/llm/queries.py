@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import bpe, chains, chat, jaccard, suffix, toxicity
+from riskspark.llm import bpe, chains, chat, jaccard, rules, suffix, toxicity
 from riskspark.llm.common import documents
 
 
@@ -17,6 +17,11 @@ def op3_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "source_id": "source_doc_id", "start": "start_word", "end": "end_word", "source_start": "source_start_word", "source_end": "source_end_word"})
 
 
+def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    out = rules.judge(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, d)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
@@ -48,6 +53,7 @@ def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
     "op8_chat_formatting": op8_chat_formatting,
