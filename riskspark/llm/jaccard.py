@@ -102,12 +102,24 @@ def needed(na: Column, nb: Column, per_cent: int) -> Column:
     return per_cent * (na + nb)
 
 
-def passing(pairs: DataFrame, per_cent: int) -> DataFrame:
-    """Length and positional filter on (a, na, pa, b, nb, pb); then one row per pair, a < b."""
-    most = F.least("pa", "pb") + 1 + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
+def passing(pairs: DataFrame, per_cent: int, complete: bool) -> DataFrame:
+    """Length, prefix and positional filter on (a, na, pa, b, nb, pb); then one row per pair, a < b.
+
+    For two given sizes a link takes ``least`` shared shingles, so one of them lies
+    among the first ``n - least + 1`` of both sets: a shorter prefix than that of step 2.
+    With ``complete``, the rows hold all lists that a pair shares there. Then what comes
+    after the last one bounds the intersection of the pair as a whole.
+    """
+    least = F.ceil(F.expr(f"({per_cent} * (na + nb)) / {100 + per_cent}"))
+    after = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
     long_enough = 100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb")
-    kept = pairs.where("a <> b").where(long_enough & ((100 + per_cent) * most >= needed(F.col("na"), F.col("nb"), per_cent)))
-    return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    early = (F.col("pa") <= F.col("na") - least) & (F.col("pb") <= F.col("nb") - least)
+    kept = pairs.where("a <> b").where(long_enough & early & (F.least("pa", "pb") + 1 + after >= least))
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    if not complete:
+        return kept.select(*pair).distinct()
+    met = kept.select(*pair, (least - after).alias("before")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("before").alias("before"))
+    return met.where("shared >= before").select("a", "b")
 
 
 def hub_pairs(lists: DataFrame, per_cent: int) -> DataFrame:
@@ -117,7 +129,7 @@ def hub_pairs(lists: DataFrame, per_cent: int) -> DataFrame:
     met = lists.join(hubs, "shingle").select(
         F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("hub.cls").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.pos").alias("pb")
     )
-    return passing(met, per_cent)
+    return passing(met, per_cent, complete=False)
 
 
 def rest_pairs(lists: DataFrame, roots: DataFrame, per_cent: int) -> DataFrame:
@@ -128,7 +140,7 @@ def rest_pairs(lists: DataFrame, roots: DataFrame, per_cent: int) -> DataFrame:
     open_lists = placed.join(top.select("shingle", F.col("top.comp").alias("largest")), "shingle")
     one = open_lists.where("comp <> largest").select("shingle", F.col("comp").alias("ca"), F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     two = open_lists.select("shingle", "largest", F.col("comp").alias("cb"), F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    return passing(one.join(two, "shingle").where("ca <> cb and (cb = largest or a < b)"), per_cent)
+    return passing(one.join(two, "shingle").where("ca <> cb and (cb = largest or a < b)"), per_cent, complete=True)
 
 
 def verified(pairs: DataFrame, rows: DataFrame, signs: DataFrame, size: int, per_cent: int) -> DataFrame:
