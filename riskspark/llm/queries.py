@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import bpe, chains, chat, jaccard, rules, suffix, toxicity
+from riskspark.llm import bpe, chains, chat, jaccard, leaks, licenses, rules, suffix, toxicity
 from riskspark.llm.common import documents
 
 
+def op1_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = licenses.scan(documents(spark, d))
+    return found.withColumnsRenamed({"id": "doc_id", "start": "start_word", "end": "end_word"})
+
+
+def op2_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    found = leaks.leaks(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+    return found.withColumnsRenamed({"id": "doc_id", "start": "start_word", "end": "end_word"})
+
+
 def op3_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     found = chains.repeated_passages(documents(spark, d))
     return found.withColumnsRenamed({"id": "doc_id", "source_id": "source_doc_id", "start": "start_word", "end": "end_word", "source_start": "source_start_word", "source_end": "source_end_word"})
@@ -52,6 +62,8 @@ def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_decontamination": op2_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard": op5_ngram_jaccard,
