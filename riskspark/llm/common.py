@@ -112,12 +112,11 @@ def with_rows(docs: DataFrame, id_col: str, text_col: str, tag: str) -> DataFram
     return keyed(slim, "id", tag).select(F.col("_row").alias("row"), "id", "text")
 
 
-def among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """``rows`` whose key may be in ``wanted`` (a column of the same name), before any shuffle.
+def marked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``: whether the key may be in ``wanted``, a column of the same name.
 
     A bitmap of hashed keys with a fixed size (2^26 bits, 8 MB) is broadcast, so
-    the bound holds for any input. Keys that share a bit pass too; callers join
-    exactly afterwards.
+    the bound holds for any input. Keys that share a bit are marked too, others never.
     """
     spot = F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))
     bits = (
@@ -127,8 +126,20 @@ def among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     )
     bit = F.bitmap_bit_position(spot)
     byte = F.conv(F.hex(F.substring("_map", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    kept = rows.withColumn("_bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "_bucket")
-    return kept.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("_bucket", "_map")
+    found = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return rows.withColumn("_bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "_bucket", "left").withColumn("_maybe", found).drop("_bucket", "_map")
+
+
+def among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose key may be in ``wanted``, before any shuffle; callers join exactly afterwards."""
+    return marked(rows, key, wanted).where("_maybe").drop("_maybe")
+
+
+def without(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """``rows`` whose key is not in ``dropped``; only rows that may be are shuffled."""
+    split = marked(rows, key, dropped)
+    sure, maybe = split.where("not _maybe").drop("_maybe"), split.where("_maybe").drop("_maybe")
+    return sure.unionByName(maybe.join(dropped.select(key), key, "left_anti").select(*rows.columns))
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -55,7 +55,7 @@ def rarity(rows: DataFrame, size: int) -> np.ndarray:
             part = found[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["slot", "n"])
 
-    table = rows.select(F.col("text").cast("binary")).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    table = rows.select(F.col("text").cast("binary")).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     out = np.zeros(SLOTS, np.int64)
     out[table["slot"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
     return out
@@ -205,3 +205,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(
         "row", "id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("component_row", "row").alias("component_row")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = K.SHINGLE, per_cent: int = PER_CENT) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that with the smallest id."""
+    rows = K.keyed(docs, id_col, "one")
+    found = near_duplicates(rows.select(F.col("_row").alias("id"), F.col(text_col).alias("text")), "id", "text", size, per_cent)
+    dropped = materialize(found.where("row <> component_row").select(F.col("row").alias("_row")), "dropped")
+    return K.without(rows, "_row", dropped).select(*docs.columns)
