@@ -20,9 +20,11 @@ from __future__ import annotations
 import codecs
 import json
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ from riskspark.llm.common import per_batch
 
 # Fixed value: the pattern that splits text into pieces before any merge.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
+NEVER = 1 << 60
 CACHE_PAIRS = 1_000_000
 
 
@@ -42,11 +45,12 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens, merges and special tokens of a byte-level BPE file."""
+    """Tokens, merges and special tokens of a byte-level BPE file; built on the driver and broadcast."""
 
     def __init__(self, content: str):
         spec = json.loads(content)
         letters = byte_letters()
+        self.key = xxhash.xxh3_64_intdigest(content.encode())
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.ids = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.bytes = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
@@ -54,39 +58,81 @@ class Vocabulary:
         merges = [tuple(bytes(letters[c] for c in side) for side in pair) for pair in pairs]
         self.ranks = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(merges)}
         self.lookahead = max(map(len, self.ids))
-        # A token counts only if the merges really make it of its bytes.
-        self.whole = {t: i for t, i in self.ids.items() if self.merge(t) == [i]}
-        self.lengths = self._lengths_by_last_byte()
-        self.fits: dict[int, bool] = {}
-        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-
-    def _lengths_by_last_byte(self) -> list[list[int]]:
-        """Lengths of the tokens that end in each byte, longest first."""
-        found: list[set[int]] = [set() for _ in range(256)]
-        for t in self.whole:
-            found[t[-1]].add(len(t))
-        return [sorted(x, reverse=True) for x in found]
-
-    def merge(self, raw: bytes) -> list[int]:
-        """The merge list applied to a short string, lowest rank first: decides what a token and a valid pair is."""
-        parts = [self.ids[raw[i : i + 1]] for i in range(len(raw))]
+        # A token counts only if the merges really make it of its bytes; ``made`` has the last of these merges.
+        self.whole: dict[bytes, int] = {}
+        self.made: dict[int, tuple[int, int]] = {}
+        for t, i in self.ids.items():
+            parts, last = self.merge(t)
+            if parts == [i]:
+                self.whole[t] = i
+                if last:
+                    self.made[i] = last
+        # A trie of the tokens from their last byte on: node << 8 | byte -> node, and the token that ends at a node.
+        self.back: dict[int, int] = {}
+        self.token_at: list[int] = [-1]
+        for t, i in self.whole.items():
+            node = 0
+            for b in reversed(t):
+                node = self.back.setdefault(node << 8 | b, len(self.token_at))
+                if node == len(self.token_at):
+                    self.token_at.append(-1)
+            self.token_at[node] = i
+
+    def merge(self, raw: bytes) -> tuple[list[int], tuple[int, int] | None]:
+        """The merge list applied to a short string, lowest rank first; and the last pair merged."""
+        parts, last = [self.ids[raw[i : i + 1]] for i in range(len(raw))], None
         while len(parts) > 1:
-            best = min(((self.ranks.get(p, (1 << 60, 0)), i) for i, p in enumerate(zip(parts, parts[1:], strict=False))))
-            (rank, made), i = best
-            if rank == 1 << 60:
+            best, at = NEVER, 0
+            for i in range(len(parts) - 1):
+                rank = self.ranks.get((parts[i], parts[i + 1]), (NEVER, 0))[0]
+                if rank < best:
+                    best, at = rank, i
+            if best == NEVER:
                 break
-            parts[i : i + 2] = [made]
-        return parts
+            last = (parts[at], parts[at + 1])
+            parts[at : at + 2] = [self.ranks[last][1]]
+        return parts, last
+
+    def edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """(part, rank of the merge that uses it up) of the parts that once stood at the token's right (1) or left (0) end."""
+        out = [(token, NEVER)]
+        while token in self.made:
+            pair = self.made[token]
+            rank, token = self.ranks[pair][0], pair[side]
+            out.append((token, rank))
+        return out
+
+
+class Pairs(dict):
+    """Whether two tokens may stand side by side, by left << 32 | right; remembered.
+
+    Merges happen in the order of their ranks. The border between both falls if some part at
+    the end of the left and some part at the start of the right token merge before
+    they are used up inside; of equal ranks the one further left comes first.
+    """
 
-    def pair(self, left: int, right: int) -> bool:
-        """Whether the two tokens may stand side by side."""
-        key = left << 32 | right
-        known = self.fits.get(key)
-        if known is None:
-            if len(self.fits) >= CACHE_PAIRS:
-                self.fits.clear()
-            known = self.fits[key] = self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
-        return known
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.v = vocabulary
+        self.ends: dict[int, list[tuple[int, int]]] = {}
+        self.starts: dict[int, list[tuple[int, int]]] = {}
+
+    def __missing__(self, key: int) -> bool:
+        if len(self) >= CACHE_PAIRS:
+            self.clear()
+        left, right = key >> 32, key & 0xFFFFFFFF
+        if left not in self.ends:
+            self.ends[left] = self.v.edge(left, 1)
+        if right not in self.starts:
+            self.starts[right] = self.v.edge(right, 0)
+        ranks, stands = self.v.ranks, True
+        for x, until_x in self.ends[left]:
+            for y, until_y in self.starts[right]:
+                met = ranks.get((x, y))
+                if met is not None and met[0] < until_x and met[0] <= until_y:
+                    stands = False
+        self[key] = stands
+        return stands
 
 
 class Transducer:
@@ -94,6 +140,7 @@ class Transducer:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self.pairs = Pairs(vocabulary)
         self.reset()
 
     def reset(self) -> None:
@@ -104,26 +151,30 @@ class Transducer:
         self.before = -1  # the token emitted last
 
     def push(self, raw: bytes) -> None:
-        v, buffer, last, start = self.v, self.buffer, self.last, self.start
-        whole, lengths = v.whole, v.lengths
-        for byte in raw:
-            buffer.append(byte)
-            end = len(buffer)
-            for n in lengths[byte]:
-                at = end - n
-                if at < 0:
-                    continue
-                token = whole.get(bytes(buffer[at:end]))
-                if token is None or start[at] == -2:
-                    continue
-                left = last[at] if at else self.before
-                if left < 0 or v.pair(left, token):
-                    last.append(token)
-                    start.append(at)
+        back, token_at, pairs, before = self.v.back, self.v.token_at, self.pairs, self.before
+        self.buffer += raw
+        buffer, last, start = self.buffer, self.last, self.start
+        for end in range(len(buffer) - len(raw) + 1, len(buffer) + 1):
+            node, at = 0, end
+            while at:
+                at -= 1
+                node = back.get(node << 8 | buffer[at], -1)
+                if node < 0:
+                    at = -1
                     break
-            else:  # a token reaches back over what is emitted: no boundary here
+                token = token_at[node]
+                if token >= 0 and start[at] != -2:
+                    left = last[at] if at else before
+                    if left < 0 or pairs[left << 32 | token]:
+                        break
+            else:
+                at = -1
+            if at < 0:  # a token reaches back over what is emitted: no boundary here
                 last.append(-1)
                 start.append(-2)
+            else:
+                last.append(token)
+                start.append(at)
 
     def path(self, end: int) -> list[tuple[int, int]]:
         out = []
@@ -158,20 +209,18 @@ class Transducer:
         return out
 
 
-class Codec:
-    """Encodes and decodes texts; remembers the pieces a task meets again."""
+class Pieces(dict):
+    """Piece -> its tokens, remembered for the short pieces that a task meets again."""
 
     FEED = 1024
 
-    def __init__(self, content: str):
-        self.v = Vocabulary(content)
-        self.pieces = regex.compile(PIECES)
-        self.transducer = Transducer(self.v)
-        self.known: dict[str, tuple[int, ...]] = {}
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.transducer = Transducer(vocabulary)
 
-    def piece(self, text: str) -> Iterator[int]:
+    def stream(self, piece: str) -> Iterator[int]:
         """The tokens of one piece, emitted as they become stable."""
-        raw, t = text.encode("utf-8", "surrogatepass"), self.transducer
+        raw, t = piece.encode("utf-8", "surrogatepass"), self.transducer
         t.reset()
         for at in range(0, len(raw), self.FEED):
             t.push(raw[at : at + self.FEED])
@@ -179,26 +228,35 @@ class Codec:
                 yield from t.stable()
         yield from t.finish()
 
-    def runs(self, text: str) -> Iterator[tuple[int, ...]]:
-        """Runs of ids, a piece at a time."""
-        known = self.known
-        for i, part in enumerate(self.v.split.split(text) if self.v.split else [text]):
-            if i % 2:
-                yield (self.v.special[part],)
-                continue
-            for found in self.pieces.finditer(part):
-                piece = found.group()
-                ids = known.get(piece)
-                if ids is None:
-                    ids = tuple(self.piece(piece))
-                    if len(piece) <= 64:
-                        if len(known) >= CACHE_PIECES:
-                            known.clear()
-                        known[piece] = ids
-                yield ids
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = tuple(self.stream(piece))
+        if len(piece) <= 64:
+            if len(self) >= CACHE_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+class Codec:
+    """Encodes and decodes texts."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
+        self.pattern = regex.compile(PIECES)
+        self.known = Pieces(vocabulary)
+        names = sorted(vocabulary.special, key=len, reverse=True)
+        self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for run in self.runs(text or "") for i in run]
+        if not text:
+            return []
+        out: list[int] = []
+        for i, part in enumerate(self.split.split(text) if self.split else [text]):
+            if i % 2:
+                out.append(self.v.special[part])
+            else:
+                out.extend(chain.from_iterable(map(self.known.__getitem__, self.pattern.findall(part))))
+        return out
 
     def decode_stream(self, ids: Iterable[int], lot: int = 4096) -> Iterator[str]:
         """Text as it becomes certain; an unfinished character waits for its next bytes."""
@@ -217,12 +275,11 @@ class Codec:
 _CODECS: dict[int, Codec] = {}
 
 
-def codec_of(content: str) -> Codec:
+def codec_of(vocabulary: Vocabulary) -> Codec:
     """One codec per worker, so that what it remembers serves its next tasks too."""
-    key = hash(content)
-    if key not in _CODECS:
-        _CODECS[key] = Codec(content)
-    return _CODECS[key]
+    if vocabulary.key not in _CODECS:
+        _CODECS[vocabulary.key] = Codec(vocabulary)
+    return _CODECS[vocabulary.key]
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
@@ -234,10 +291,10 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     import numpy as np
 
-    content = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
 
     def make():
-        codec = codec_of(content.value)
+        codec = codec_of(shared.value)
 
         def step(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 500):
