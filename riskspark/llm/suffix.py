@@ -185,9 +185,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(table[:, k]) for k in range(4)], names=["row", "key", "first", "last"])
 
     found = materialize(texts.mapInArrow(anchors, "row long, key long, first long, last long"), "anchors")
-    shared = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    lots = (F.ceil(F.col("n") / CHUNK)).cast("int").alias("lots")
-    wanted = materialize(found.join(shared.select("key", lots), "key"), "shared-anchors")
+    # Written, so that the join that follows is one of two plain exchanges, whose hot keys Spark can split.
+    shared = materialize(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("lots")), "shared-keys")
+    wanted = materialize(found.join(shared, "key"), "shared-anchors")
     per_row = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "first", "last", "lots")).alias("marks"))
     held = K.among(texts, "row", wanted.select("row")).join(per_row, "row").select("row", "text", "marks")
 
