@@ -378,6 +378,66 @@ def with_more(base: str, more: str) -> str:
     return base.rsplit(" SELECT 0", 1)[0] + ", " + more
 
 
+def histogram_sql(value: str, bins: int) -> str:
+    low, width = "lo + bin * (hi - lo) / {n}".format(n=bins), "lo + (bin + 1) * (hi - lo) / {n}".format(n=bins)
+    return (
+        f"SELECT bin, {settled(low, 6, 'low')}, {settled(width, 6, 'high')}, count(v) AS \"count\" FROM "
+        f"(SELECT unnest(range({bins}))::INT AS bin) CROSS JOIN (SELECT min({value}) AS lo, max({value}) AS hi FROM threat) "
+        f"LEFT JOIN (SELECT v, least(floor((v - l) / ((h - l) / {bins}))::INT, {bins - 1}) AS place FROM (SELECT {value} AS v, min({value}) OVER () AS l, max({value}) OVER () AS h FROM threat)) ON place = bin "
+        "GROUP BY bin, lo, hi"
+    )
+
+
+def share(purpose: str, seed: int = 42) -> str:
+    return f"('0x' || substr(md5('{purpose}:{seed}:' || asset_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+
+
+LINE = "(SELECT asset_id, epss_score_mean::DOUBLE AS x, expected_annual_loss_usd::DOUBLE AS y FROM priced_raw WHERE epss_score_mean IS NOT NULL)"
+
+
+def learning_curve_sql() -> str:
+    rows = f"(SELECT *, floor({share('fold')} * 3)::INT AS f, {share('size')} AS s FROM {LINE})"
+    parts = []
+    for size in (0.2, 0.4, 0.6, 0.8, 1.0):
+        for fold in range(3):
+            inside = f"f <> {fold} AND s < {size}"
+            error = "(y - (exp(a + b * x) - 1))"
+            parts.append(
+                f"SELECT {size}::DOUBLE AS share, count(*) FILTER ({inside}) AS n, sqrt(avg({error} * {error}) FILTER ({inside})) AS seen, sqrt(avg({error} * {error}) FILTER (f = {fold})) AS unseen "
+                f"FROM {rows} CROSS JOIN (SELECT regr_slope(ln(1 + y), x) AS b, regr_intercept(ln(1 + y), x) AS a FROM {rows} WHERE {inside})"
+            )
+    return (
+        f"SELECT {settled('share', 2, 'share')}, {settled('avg(n)', 3, 'train_rows')}, {settled('avg(seen) / 1000', 3, 'train_rmse')}, {settled('avg(unseen) / 1000', 3, 'validation_rmse')} "
+        f"FROM ({' UNION ALL '.join(parts)}) t GROUP BY t.share"
+    )
+
+
+LOSS_INPUTS = """(SELECT *,
+ CASE WHEN tie_a % 11 > 0 THEN ['critical', 'High', 'medium', 'low', 'other'][(tie_a % 5 + 1)::INT] END AS word,
+ CASE WHEN tie_b <> 3 THEN tie_a % 9000 END AS records, CASE WHEN tie_b <> 4 THEN (tie_a % 30)::DOUBLE END AS hours,
+ tie_a % 700 AS customers, CASE WHEN tie_b <> 2 THEN (tie_a % 2)::DOUBLE END AS ransom, (tie_a % 2)::DOUBLE AS kev,
+ CASE WHEN tie_b <> 6 THEN (tie_a % 3) / 10.0::DOUBLE END AS epss, (tie_a % 4) * 2.0::DOUBLE AS cvss, (tie_a % 7) / 10.0::DOUBLE AS pressure
+ FROM threat WHERE asset_id IS NOT NULL)"""
+
+
+def wide_losses_sql() -> str:
+    levels = {"critical": 5600, "high": 2100, "low": 210}
+    parts = {
+        "loss_data_breach_usd": "CASE WHEN records IS NULL THEN 732000.0::DOUBLE ELSE greatest(732000.0::DOUBLE, records * 165.0::DOUBLE) END * (1 + least(cvss / 20, 1))",
+        "loss_ransomware_usd": "CASE WHEN ransom IS NOT NULL THEN greatest(ransom, coalesce(epss, 0), 0.15::DOUBLE) END * (2540000 * 0.46::DOUBLE + 1850000)",
+        "loss_downtime_usd": f"CASE lower(word) {' '.join(f'WHEN {chr(39)}{w}{chr(39)} THEN {v}.0::DOUBLE' for w, v in levels.items())} ELSE 840.0::DOUBLE END * hours * 60",
+        "loss_legal_usd": "1940000.0::DOUBLE * least(records / 100000.0::DOUBLE, 1) + 3.5::DOUBLE * records",
+        "loss_reputation_usd": "customers * 0.038::DOUBLE * 4200",
+    }
+    total = " + ".join(f"coalesce({c}, 0)" for c in parts)
+    e, c = "CASE WHEN epss = 0 THEN 0.01::DOUBLE ELSE epss END", "CASE WHEN cvss = 0 THEN 5.0::DOUBLE ELSE cvss END"
+    raw = f"({e}) * (kev * 1.5::DOUBLE + 1) + ({c}) / 10 * 0.08::DOUBLE + pressure * 0.05::DOUBLE"
+    chance = f"CASE WHEN epss IS NOT NULL THEN least(greatest({raw}, 0.001::DOUBLE), 0.95::DOUBLE) END"
+    inner = f"(SELECT *, {', '.join(f'{sql} AS {c}' for c, sql in parts.items())}, {chance} AS exploit_probability FROM {LOSS_INPUTS})"
+    outer = f"(SELECT *, {total} AS financial_impact_usd, exploit_probability * ({total}) AS expected_annual_loss_usd FROM {inner})"
+    return f"SELECT {row_list()}, " + ", ".join(settled(c, 2, c) for c in LOSSES) + f", {settled('exploit_probability', 6, 'exploit_probability')} FROM {outer}"
+
+
 def oracle_sql() -> dict[str, str]:
     quartile = lambda c, p: f"quantile_cont({c}, {p})"
     fences = ", ".join(
@@ -463,7 +523,9 @@ def oracle_sql() -> dict[str, str]:
         f"FROM (SELECT CAST({c} AS DOUBLE) AS v, quantile_cont(CAST({c} AS DOUBLE), 0.25) OVER () AS lo, quantile_cont(CAST({c} AS DOUBLE), 0.75) OVER () AS hi FROM priced_raw)"
         for c in CORRELATED
     )
-    nulls = ["asset_id", "cve_id", "cvss_score", "epss_score", "severity", "exploit_count", "date_added"]
+    nulls = (
+        "asset_id cve_id source cvss_score epss_score severity scope exploit_count date_added published last_seen asset_exposure_score tie_a tie_b tie_c"
+    ).split()
     bins = 20
     return {
         "threat_validate": chain(
@@ -522,9 +584,9 @@ def oracle_sql() -> dict[str, str]:
             "rolled_raw", "pentest_scored", "asset_enriched",
         ),
         "integrity_report": chain(
-            'SELECT count(*) AS "rows", 13::BIGINT AS "columns", count(*) FILTER (asset_id IS NULL) AS missing_key, '
+            'SELECT count(*) AS "rows", 15::BIGINT AS "columns", count(*) FILTER (asset_id IS NULL) AS missing_key, '
             "count(*) - (SELECT count(*) FROM (SELECT DISTINCT asset_id FROM threat)) AS duplicate_keys, "
-            "CAST(sum(" + " + ".join(f"({c} IS NULL)::INT" for c in ["asset_id", "cve_id", "source", "cvss_score", "epss_score", "severity", "scope", "exploit_count", "date_added", "published", "last_seen", "asset_exposure_score", "tie_a"]) + ") AS BIGINT) AS null_cells FROM threat",
+            "CAST(sum(" + " + ".join(f"({c} IS NULL)::INT" for c in ["asset_id", "cve_id", "source", "cvss_score", "epss_score", "severity", "scope", "exploit_count", "date_added", "published", "last_seen", "asset_exposure_score", "tie_a", "tie_b", "tie_c"]) + ") AS BIGINT) AS null_cells FROM threat",
             "threat",
         ),
         "asset_accepted": chain(
@@ -601,10 +663,33 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT asset_id, {settled(f'greatest(predicted + quantile_cont({error}, 0.05) OVER (), 0)', 2, 'p05')}, {settled(f'greatest(predicted + quantile_cont({error}, 0.95) OVER (), 0)', 2, 'p95')} FROM {predicted}",
             "priced_raw",
         ),
-        "loss_histogram": chain(
-            f"SELECT bin, count(*) AS \"count\" FROM (SELECT least(floor((v - min(v) OVER ()) / ((max(v) OVER () - min(v) OVER ()) / {bins}))::INT, {bins - 1}) AS bin "
-            "FROM (SELECT asset_exposure_score AS v FROM threat)) GROUP BY bin",
-            "threat",
+        "loss_histogram": chain(histogram_sql("asset_exposure_score", bins), "threat"),
+        "loss_histogram_log": chain(histogram_sql("ln(1 + greatest(asset_exposure_score, 0))", 50), "threat"),
+        "loss_wide": chain(wide_losses_sql(), "threat"),
+        "loss_custom_costs": chain(
+            f"SELECT {row}, {settled('100.0::DOUBLE * 60 * hours', 2, 'loss_downtime_usd')} FROM {LOSS_INPUTS}", "threat"
+        ),
+        "data_split": chain(
+            f"SELECT asset_id, CASE WHEN s < 0.7 THEN 'train' WHEN s < 0.85 THEN 'val' ELSE 'test' END AS part FROM (SELECT asset_id, {share('split')} AS s FROM priced_raw)",
+            "priced_raw",
+        ),
+        "fold_sizes": chain(
+            f"SELECT asset_id, CASE WHEN s < 0.2 THEN 'holdout' ELSE 'train' END AS part, CASE WHEN s < 0.2 THEN -1 ELSE floor(f * 5)::INT END AS fold "
+            f"FROM (SELECT asset_id, {share('split')} AS s, {share('fold')} AS f FROM priced_raw)",
+            "priced_raw",
+        ),
+        "plain_regressor": chain(
+            f"SELECT asset_id, {settled('(a + b * x) / 1000', 3, 'prediction')} FROM {LINE} CROSS JOIN (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM {LINE})", "priced_raw"
+        ),
+        "line_model": chain(
+            f"SELECT asset_id, {settled('(exp(a + b * x) - 1) / 1000', 3, 'prediction')} FROM {LINE} CROSS JOIN (SELECT regr_slope(ln(1 + y), x) AS b, regr_intercept(ln(1 + y), x) AS a FROM {LINE})",
+            "priced_raw",
+        ),
+        "learning_curve": chain(learning_curve_sql(), "priced_raw"),
+        "partial_dependence": chain(
+            f"SELECT 'x' AS feature, {settled('v', 6, 'value')}, {settled('(exp(a + b * v) - 1) / 1000', 3, 'prediction')} FROM "
+            f"(SELECT a, b, low + (high - low) * i / 99 AS v FROM (SELECT regr_slope(ln(1 + y), x) AS b, regr_intercept(ln(1 + y), x) AS a, quantile_cont(x, 0.05) AS low, quantile_cont(x, 0.95) AS high FROM {LINE}) CROSS JOIN (SELECT unnest(range(100)) AS i))",
+            "priced_raw",
         ),
         "prediction_scores": with_more(chain("SELECT 0", "priced_raw"), scored_sql()),
         "prediction_rejects": chain(

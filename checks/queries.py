@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,9 +126,7 @@ def impute_neighbours(spark, d):
 
 def impute_medians(spark, d):
     rows = P.threats(spark, d)
-    return impute.fit_medians(rows, ["exploit_count"]).transform(rows).select(
-        *ROW, F.col("exploit_count").cast("double").alias("exploit_count")
-    )
+    return impute.fit_medians(rows).transform(rows).select(*ROW, F.col("exploit_count").cast("double").alias("exploit_count"))
 
 
 def impute_defaults(spark, d):
@@ -137,8 +136,7 @@ def impute_defaults(spark, d):
 
 
 def null_report(spark, d):
-    columns = ["asset_id", "cve_id", "cvss_score", "epss_score", "severity", "exploit_count", "date_added"]
-    return impute.null_report(P.threats(spark, d).select(*columns))
+    return impute.null_report(P.threats(spark, d))
 
 
 def threat_features(spark, d):
@@ -188,7 +186,7 @@ def merge_tables(spark, d):
 
 
 def integrity_report(spark, d):
-    return merge.integrity_report(P.threats(spark, d).drop("tie_b", "tie_c"))
+    return merge.integrity_report(P.threats(spark, d))
 
 
 def portfolio_query(spark, d):
@@ -302,7 +300,39 @@ def prediction_intervals(spark, d):
 
 def loss_histogram(spark, d):
     bins = train.histogram(P.threats(spark, d), "asset_exposure_score", 20, log_scale=False)
-    return bins.where(F.col("count") > 0).select("bin", "count")
+    return bins.select("bin", settle("low", 6), settle("high", 6), "count")
+
+
+def loss_histogram_log(spark, d):
+    return train.histogram(P.threats(spark, d), "asset_exposure_score").select("bin", settle("low", 6), settle("high", 6), "count")
+
+
+def loss_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """Assets with every input that the loss parts can read, nulls and zeros among them."""
+    rows = P.threats(spark, d).where("asset_id IS NOT NULL")
+    word = F.element_at(F.array(*[F.lit(w) for w in ("critical", "High", "medium", "low", "other")]), (F.col("tie_a") % 5 + 1).cast("int"))
+    return rows.select(
+        *ROW,
+        F.when(F.col("tie_a") % 11 > 0, word).alias("business_criticality"),
+        F.when(F.col("tie_b") != 3, F.col("tie_a") % 9000).alias("estimated_records_at_risk"),
+        F.when(F.col("tie_b") != 4, (F.col("tie_a") % 30).cast("double")).alias("estimated_downtime_hours"),
+        (F.col("tie_a") % 700).alias("estimated_customer_count"),
+        F.when(F.col("tie_b") != 2, (F.col("tie_a") % 2).cast("double")).alias("known_ransomware_max"),
+        (F.col("tie_a") % 2).cast("double").alias("kev_flag_max"),
+        F.when(F.col("tie_b") != 6, F.col("tie_a") % 3 / 10.0).alias("epss_score_max"),
+        (F.col("tie_a") % 4 * 2.0).alias("cvss_score_max"),
+        (F.col("tie_a") % 7 / 10.0).alias("threat_pressure_factor_max"),
+    )
+
+
+def loss_wide(spark, d):
+    return loss.estimate_losses(loss_inputs(spark, d)).select(*ROW, *[settle(c, 2) for c in O.LOSSES], settle("exploit_probability", 6))
+
+
+def loss_custom_costs(spark, d):
+    costs = {"downtime": {"medium_systems_cost_per_min_usd": 100}}
+    rows = loss_inputs(spark, d)
+    return rows.select(*ROW, settle(loss.downtime_loss(rows, costs), 2, "loss_downtime_usd"))
 
 
 def prediction_scores(spark, d):
@@ -333,7 +363,7 @@ def export_view(spark, d):
     return rows.select(*score.export_columns(rows))
 
 
-# --- model fitting: no SQL counterpart, tested on fixtures -----------------------
+# --- splits and one-feature models: SQL has the same regression -------------------
 
 
 def data_split(spark, d):
@@ -342,14 +372,53 @@ def data_split(spark, d):
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+def fold_sizes(spark, d):
+    """Where every asset goes: held out, or in which fold of the training part."""
+    seen, unseen = train.holdout_split(priced(spark, d))
+    placed = seen.select("asset_id", F.lit("train").alias("part"), features.hash_fold(5, 42).alias("fold"))
+    return placed.unionByName(unseen.select("asset_id", F.lit("holdout").alias("part"), F.lit(-1).alias("fold")))
+
+
+def one_feature(spark: SparkSession, d: str) -> DataFrame:
+    """Written table of one input and the target; a straight line through it is regr_slope in SQL."""
+    rows = priced(spark, d).select("asset_id", F.col("epss_score_mean").cast("double").alias("x"), F.col(TARGET).cast("double").alias(C.TARGET))
+    return materialize(rows.where("x IS NOT NULL"), "line")
+
+
+def plain_regressor(spark, d):
+    rows = one_feature(spark, d)
+    model = train.train_regressor(rows, C.TARGET, LinearRegression())
+    return model.predict(rows).select("asset_id", settle(F.col("prediction") / 1000, 3, "prediction"))
+
+
+def line_model(spark, d):
+    rows = one_feature(spark, d)
+    model = train.fit_model(rows, ["x"], C.TARGET, LinearRegression())
+    return model.predict(rows).select("asset_id", settle(F.col("prediction") / 1000, 3, "prediction"))
+
+
+def learning_curve(spark, d):
+    found = train.learning_curve(one_feature(spark, d), ["x"], C.TARGET, LinearRegression())
+    return found.select(settle("share", 2), settle("train_rows", 3), *[settle(F.col(c) / 1000, 3, c) for c in ("train_rmse", "validation_rmse")])
+
+
+def partial_dependence(spark, d):
+    rows = one_feature(spark, d)
+    model = train.fit_model(rows, ["x"], C.TARGET, LinearRegression())
+    return train.partial_dependence(model, rows).select("feature", settle("value", 6), settle(F.col("prediction") / 1000, 3, "prediction"))
+
+
+# --- tree models: no SQL counterpart, tested on fixtures --------------------------
+
+
 def forest_importance(spark, d):
     rows, names = model_matrix(spark, d)
-    return train.importance_report(spark, select.forest_importance(rows, names, C.TARGET, trees=20, depth=5))
+    return train.importance_report(spark, select.forest_importance(rows, names, C.TARGET))
 
 
 def feature_selection(spark, d):
-    rows = materialize(priced(spark, d).select(*O.CORRELATED, F.col(TARGET).alias(C.TARGET)), "select")
-    _, report = select.select_features(rows, trees=20, elimination_trees=10, depth=5)
+    rows = features.build_cyber_features(priced(spark, d), rank=False).withColumnRenamed(TARGET, C.TARGET)
+    _, report = select.select_features(materialize(rows.drop("asset_id"), "select"))
     schema = (
         "feature string, mutual_information double, random_forest_importance double, shap_importance double, "
         "rfe_selected int, selection_score double"
@@ -357,19 +426,14 @@ def feature_selection(spark, d):
     return spark.createDataFrame([tuple(r.values()) for r in report["feature_scores"]], schema)
 
 
-def small_registry():
-    return train.model_registry(trees=20, rounds=20, depth=5)
-
-
 def leaderboard(spark, d):
     rows, names = model_matrix(spark, d)
-    space = {"Random Forest": {"trees": [10, 20], "depth": [4, 6], "min_leaf": [1, 2]}}
-    return train.train_and_select(rows, names, C.TARGET, small_registry(), space, folds=2, repeats=1, search_iter=2).leaderboard
+    return train.train_and_select(rows, names).leaderboard
 
 
 def boosted(spark: SparkSession, d: str):
     rows, names = model_matrix(spark, d)
-    return rows, train.fit_model(rows, names, C.TARGET, small_registry()["Gradient Boosting"])
+    return rows, train.fit_model(rows, names, C.TARGET, train.model_registry()["Gradient Boosting"])
 
 
 def predict_table(spark, d):
@@ -386,28 +450,12 @@ def staged_spread(spark, d):
 
 def permutation_importance(spark, d):
     rows, model = boosted(spark, d)
-    return train.permutation_importance(model, rows, repeats=2)
-
-
-def partial_dependence(spark, d):
-    rows, model = boosted(spark, d)
-    return train.partial_dependence(model, rows, points=20)
-
-
-def learning_curve(spark, d):
-    rows, names = model_matrix(spark, d)
-    return train.learning_curve(rows, names, C.TARGET, train.elastic_net(0.005, 0.2), sizes=(0.5, 1.0), folds=2)
+    return train.permutation_importance(model, rows)
 
 
 def stacking(spark, d):
     rows, names = model_matrix(spark, d)
-    bases = {"rf": train.random_forest(20, 5), "en": train.elastic_net()}
-    return train.stacking_regressor(rows, names, C.TARGET, folds=2, bases=bases).predict(rows).select("asset_id", "prediction")
-
-
-def plain_regressor(spark, d):
-    rows, _ = model_matrix(spark, d)
-    return train.train_regressor(rows, C.TARGET, train.random_forest(20, 5)).predict(rows).select("asset_id", "prediction")
+    return train.stacking_regressor(rows, names, C.TARGET).predict(rows).select("asset_id", "prediction")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -420,7 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         percent_rank_rows, mutual_information, one_hot, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
-        partial_dependence, learning_curve, stacking, plain_regressor,
+        partial_dependence, learning_curve, stacking, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
     )
 }
 QUERIES["portfolio"] = portfolio_query

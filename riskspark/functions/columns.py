@@ -58,9 +58,22 @@ def column_or(df: DataFrame, names: str | Iterable[str], default: object) -> Col
     return F.col(found[0]) if found else F.lit(default)
 
 
+WHITE = " \t\n\r\f\v"
+
+
+def strip(value: Column) -> Column:
+    """Text without white space of any kind at both ends."""
+    return F.btrim(value, F.lit(WHITE))
+
+
+def quoted(name: str) -> str:
+    """A column name that Spark takes as it is, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_flag(value: Column) -> Column:
     """true / 1 / yes in any case is true, everything else (null too) is false."""
-    return F.coalesce(F.lower(F.trim(value.cast("string"))).isin("true", "1", "yes"), F.lit(False))
+    return F.coalesce(F.lower(strip(value.cast("string"))).isin("true", "1", "yes"), F.lit(False))
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

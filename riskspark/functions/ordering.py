@@ -197,9 +197,14 @@ def average_percent_rank(df: DataFrame, column: str, output: str, small: int = S
         ),
         "ranks",
     )
-    # A hot value is no problem when broadcast; beyond that bound AQE splits the skewed partition.
-    joined = df.join(lookup(ranked), F.col(column).cast("double") == F.col("_value"), "left")
-    return joined.drop("_value")
+    # A hot value is no problem when broadcast; beyond that bound AQE splits the skewed partition,
+    # and rows without a value, which would all meet in one, stay out of the join.
+    match = F.col(column).cast("double") == F.col("_value")
+    table = lookup(ranked)
+    if table is not ranked:
+        return df.join(table, match, "left").drop("_value")
+    known = df.where(F.col(column).isNotNull()).join(ranked, match, "left").drop("_value")
+    return known.unionByName(df.where(F.col(column).isNull()).withColumn(output, F.lit(None).cast("double")))
 
 
 def bin_edges(df: DataFrame, columns: Iterable[str], bins: int) -> dict[str, list[float]]:

@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark import constants as C
-from riskspark.functions.columns import present, round_even, text_flag
+from riskspark.functions.columns import present, round_even, strip, text_flag
 
 SERVICE = "struct<port:string,service:string,version:string>"
 # --- fixed values: patterns ------------------------------------------------------
 IPV4 = r"((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 LABEL = r"[a-zA-Z0-9]([a-zA-Z0-9\-]{0,61}[a-zA-Z0-9])?"
 FQDN = rf"^(?=.{{1,253}}$)(?!-)({LABEL}\.)+[a-zA-Z]{{2,63}}$"
-ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)?)?$"
-OFFSET = r"([+-]\d{2}:\d{2}|Z)$"
+ISO_MOMENT = r"^\d{4}-?\d{2}-?\d{2}([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
+ISO_PARTS = r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?)?$"
 
 
 # --- typing ----------------------------------------------------------------------
@@ -39,7 +39,7 @@ def list_column(df: DataFrame, name: str) -> Column:
         return empty
     if _is_array(df, name):
         return F.coalesce(F.col(name).cast("array<string>"), empty)
-    return F.coalesce(F.from_json(F.trim(F.col(name).cast("string")), "array<string>"), empty)
+    return F.coalesce(F.from_json(strip(F.col(name).cast("string")), "array<string>"), empty)
 
 
 def service_column(df: DataFrame, name: str = "services") -> Column:
@@ -66,7 +66,7 @@ def service_column(df: DataFrame, name: str = "services") -> Column:
 def normalise_types(df: DataFrame) -> DataFrame:
     """Text without nulls, decoded lists, boolean exposure, dates still as text."""
     texts = present(df, ["asset_id", "host", "domain", "last_seen"])
-    new = {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in texts}
+    new = {c: strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in texts}
     new |= {c: list_column(df, c) for c in ("ports", "tags", "discovered_by")}
     new["services"] = service_column(df)
     if "internet_exposed" in df.columns:
@@ -94,7 +94,9 @@ def is_domain(value: Column) -> Column:
 
 
 def port_number(value: Column) -> Column:
-    return value.try_cast("int")
+    """Whole numbers, also as decimals such as 22.0; other text is null."""
+    plain = F.regexp_extract(strip(value), r"^([+-]?\d+)(\.0*)?$", 1)
+    return plain.try_cast("int")
 
 
 def is_port(value: Column) -> Column:
@@ -102,9 +104,18 @@ def is_port(value: Column) -> Column:
 
 
 def parse_moment(value: Column) -> Column:
-    """ISO-8601 text to UTC; if only the offset is unreadable it is dropped, else null."""
-    shaped = F.when(value.rlike(ISO_MOMENT), F.regexp_replace(value, ",", "."))
-    return F.coalesce(F.try_to_timestamp(shaped), F.try_to_timestamp(F.regexp_replace(shaped, OFFSET, "")))
+    """ISO-8601 text, extended or basic, to UTC; null if unreadable.
+
+    Fractions are cut at microseconds. If only the offset is unreadable it is dropped.
+    """
+    part = lambda i, default: F.coalesce(F.nullif(F.regexp_extract(value, ISO_PARTS, i), F.lit("")), F.lit(default))
+    day, clock = F.concat_ws("-", part(1, ""), part(2, ""), part(3, "")), F.concat_ws(":", part(4, "00"), part(5, "00"), part(6, "00"))
+    moment = F.concat(day, F.lit("T"), clock, F.lit("."), F.substring(F.rpad(part(7, "0"), 6, "0"), 1, 6))
+    offset = part(8, "Z")
+    digits = F.regexp_replace(offset, "[Z:]", "")
+    zone = F.when(offset == "Z", F.lit("Z")).otherwise(F.concat_ws(":", F.substring(digits, 1, 3), F.rpad(F.substring(digits, 4, 2), 2, "0")))
+    readable = value.rlike(ISO_MOMENT)
+    return F.coalesce(F.try_to_timestamp(F.when(readable, F.concat(moment, zone))), F.try_to_timestamp(F.when(readable, F.concat(moment, F.lit("Z")))))
 
 
 def _rules() -> list[tuple[Column, str]]:
@@ -112,7 +123,7 @@ def _rules() -> list[tuple[Column, str]]:
     col = F.col
     moment = parse_moment(col("last_seen"))
     services = F.forall(
-        "services", lambda s: is_port(s["port"]) & (F.length(F.trim(F.coalesce(s["service"], F.lit("")))) > 0)
+        "services", lambda s: is_port(s["port"]) & (F.length(strip(F.coalesce(s["service"], F.lit("")))) > 0)
     )
     return [
         (col("asset_id").startswith("ASSET-"), "asset_id must start with 'ASSET-'"),
@@ -138,11 +149,11 @@ def validate_assets(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     judged = full.withColumn("_reasons", reasons)
     rejected = judged.where(F.size("_reasons") > 0).select("asset_id", F.concat_ws("; ", "_reasons").alias("reason"))
 
-    word = lambda e: F.lower(F.trim(e))
+    word = lambda e: F.lower(strip(e))
     service = lambda s: F.struct(
         port_number(s["port"]).alias("port"),
         word(s["service"]).alias("service"),
-        F.trim(F.coalesce(s["version"], F.lit(""))).alias("version"),
+        strip(F.coalesce(s["version"], F.lit(""))).alias("version"),
     )
     accepted = judged.where(F.size("_reasons") == 0).select(
         "asset_id",
@@ -179,7 +190,7 @@ def asset_type() -> Column:
     rdp = _overlap(svc, ["rdp", "ms-wbt-server"]) | F.array_contains(ports, 3389)
     windows = _overlap(svc, ["rdp", "ms-wbt-server", "microsoft-ds"]) | F.array_contains(ports, 3389)
     ssh = F.array_contains(svc, "ssh") | F.array_contains(ports, 22)
-    has_domain, has_host = F.trim("domain") != "", F.trim("host") != ""
+    has_domain, has_host = strip(F.col("domain")) != "", strip(F.col("host")) != ""
     no_ports = F.size(ports) == 0
     crtsh = F.array_contains(F.transform("discovered_by", F.lower), "crtsh")
     rules = [
@@ -204,7 +215,7 @@ def asset_type() -> Column:
 def enrich_assets(df: DataFrame) -> DataFrame:
     """Add counts, flags, scores and the asset type to validated assets."""
     names = F.array_distinct(
-        F.filter(F.transform("services", lambda s: F.lower(F.trim(s["service"]))), lambda n: n != "")
+        F.filter(F.transform("services", lambda s: F.lower(strip(s["service"]))), lambda n: n != "")
     )
     prepared = df.withColumns(
         {

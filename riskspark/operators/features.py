@@ -87,12 +87,12 @@ def build_cyber_features(df: DataFrame, rank: bool = True, small: int = SMALL_DI
 
 
 def one_hot_encode(
-    df: DataFrame, target: str = C.SOURCE_TARGET, exclude: Iterable[str] = ("asset_id",), max_values: int = 1000
+    df: DataFrame, target: str = C.SOURCE_TARGET, exclude: Iterable[str] = ("asset_id",), max_values: int | None = None
 ) -> DataFrame:
     """Replace text and boolean columns by one boolean column per value plus one for null.
 
-    Values become columns, so a column with more than ``max_values`` of them (an
-    id, free text) is refused instead of being cut; put such columns in ``exclude``.
+    Values become columns. With ``max_values``, a column that has more (an id, free
+    text) is refused, never cut; put such columns in ``exclude``.
     """
     skip = {target, *exclude}
     kinds = (T.StringType, T.BooleanType)
@@ -104,8 +104,9 @@ def one_hot_encode(
     )
     found = df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct()
     found = materialize(found, "values")
-    for row in found.groupBy("name").count().where(F.col("count") > max_values).collect():
-        raise ValueError(f"{row['name']} has more than {max_values} values; exclude it")
+    if max_values is not None:
+        for row in found.groupBy("name").count().where(F.col("count") > max_values).collect():
+            raise ValueError(f"{row['name']} has more than {max_values} values; exclude it")
     values: dict[str, list[str]] = {}
     for row in found.collect():
         values.setdefault(row["name"], []).append(row["value"])
@@ -120,14 +121,19 @@ def one_hot_encode(
     return df.select(*[c for c in df.columns if c not in gone], *encoded)
 
 
-def hash_share(seed: int, key: str = "asset_id") -> Column:
-    """A stable number in [0, 1) per key; the same after any repartitioning."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+def hash_share(seed: int, key: str = "asset_id", purpose: str = "split") -> Column:
+    """A stable number in [0, 1) per key; the same after any repartitioning.
+
+    ``purpose`` keeps draws apart: rows that a split left in training are still
+    spread evenly over folds. It is read off an MD5, which other engines have too.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(purpose), F.lit(seed), F.col(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def hash_fold(folds: int, seed: int, key: str = "asset_id") -> Column:
     """Stable fold number 0..folds-1 per key."""
-    return F.floor(hash_share(seed, key) * folds).cast("int")
+    return F.floor(hash_share(seed, key, "fold") * folds).cast("int")
 
 
 def train_val_test_split(

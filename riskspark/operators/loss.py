@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from riskspark import constants as C
 from riskspark.functions.columns import clip, column_or, lenient_double
 
+MEDIUM_PER_MINUTE = 840.0  # fixed value: where a cost table names no medium level
+
 Costs = Mapping[str, Mapping[str, float]]
 
 
@@ -59,14 +61,16 @@ def ransomware_loss(df: DataFrame, costs: Costs = C.COSTS) -> Column:
 def downtime_loss(df: DataFrame, costs: Costs = C.COSTS) -> Column:
     """Cost per minute by business criticality (unknown words count as medium) times hours down.
 
+    Levels come from the given cost table only.
+
     The default of the hours reads ``sev_count_CRITICAL`` in exactly this spelling,
     so tables with lower-case severity columns get the plain 8 hours.
     """
-    per_minute = {**C.COSTS["downtime"], **(costs.get("downtime") or {})}
+    per_minute = costs.get("downtime") or {}
     suffix = "_systems_cost_per_min_usd"
     word = F.lower(column_or(df, ["business_criticality", "business_criticality_mode"], "medium").cast("string"))
     levels = {n.removesuffix(suffix): float(v) for n, v in per_minute.items() if n.endswith(suffix)}
-    rate = F.lit(levels["medium"])
+    rate = F.lit(levels.get("medium", MEDIUM_PER_MINUTE))
     for level, cost in levels.items():
         rate = F.when(word == level, F.lit(cost)).otherwise(rate)
     hours = _number(df, ["estimated_downtime_hours"], _number(df, ["sev_count_CRITICAL"], 0) * 12 + 8)

@@ -16,6 +16,18 @@ def require_key(df: DataFrame, key: str = "asset_id") -> None:
         raise ValueError(f"Null values found in key column: {key}")
 
 
+def has_rows(df: DataFrame, key: str = "asset_id") -> bool:
+    """Whether a table has rows, whose keys must be there: one aggregate over the key alone."""
+    if key not in df.columns:
+        if df.isEmpty():
+            return False
+        raise ValueError(f"Required key column not found: {key}")
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("missing")).first()
+    if found["missing"]:
+        raise ValueError(f"Null values found in key column: {key}")
+    return found["n"] > 0
+
+
 def merge_on_asset_id(
     tables: Iterable[DataFrame | None], how: str = "left", key: str = "asset_id", check: bool = True
 ) -> DataFrame | None:
@@ -28,9 +40,7 @@ def merge_on_asset_id(
     """
     kept = [t for t in tables if t is not None]
     if check:
-        kept = [t for t in kept if not t.isEmpty()]
-        for table in kept:
-            require_key(table, key)
+        kept = [t for t in kept if has_rows(t, key)]
     if not kept:
         return None
     merged = kept[0]

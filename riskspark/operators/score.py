@@ -205,26 +205,28 @@ def staged_spread(model: LossModel, df: DataFrame, output: str = "staged_spread"
     """Add the standard deviation of the later half of the staged predictions, on the loss scale.
 
     MLlib does not expose staged predictions, so the trees are walked column-wise
-    over Arrow batches. The trees travel with the task.
+    over Arrow batches of the input vectors; other columns stay where they are. The trees
+    travel with the task.
     """
     trees = tree_tables(model.regressor)
     weights = list(model.regressor.treeWeights)
     start = max(0, int(len(trees) * 0.5))
     logged = model.log_target
-    inputs = model.prepared(df).withColumn("_x", vector_to_array("features")).drop("features")
-    schema = T.StructType([f for f in inputs.schema.fields if f.name != "_x"]).add(output, "double")
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                yield batch.drop(columns="_x").assign(**{output: np.zeros(0)})
-                continue
-            x = np.stack(batch["_x"].to_numpy())
-            stages = np.cumsum([w * _tree_values(t, x) for t, w in zip(trees, weights, strict=True)], axis=0)
-            stages = np.expm1(stages) if logged else stages
-            yield batch.drop(columns="_x").assign(**{output: np.std(stages[start:], axis=0)})
+    @F.pandas_udf("double")
+    def spread(vectors: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype=float)
+        return pd.Series(walked_spread(trees, weights, np.stack(vectors.to_numpy()), start, logged))
 
-    return inputs.mapInPandas(spread, schema)
+    inputs = model.prepared(df)
+    return inputs.withColumn(output, spread(vector_to_array("features"))).drop("features")
+
+
+def walked_spread(trees: list[Mapping[str, np.ndarray]], weights: list[float], x: np.ndarray, start: int, logged: bool) -> np.ndarray:
+    """Per row of ``x``, the deviation of the running sums of tree values from stage ``start`` on."""
+    stages = np.cumsum([w * _tree_values(t, x) for t, w in zip(trees, weights, strict=True)], axis=0)
+    return np.std((np.expm1(stages) if logged else stages)[start:], axis=0)
 
 
 # --- explanation -----------------------------------------------------------------
@@ -334,7 +336,7 @@ def predict_table(
     if hasattr(model.regressor, "treeWeights") and type(model.regressor).__name__.startswith("GBT"):
         spread = "staged_spread"
         scored = staged_spread(model, scored, spread)
-    importances = model.importances() or {c: 1.0 for c in model.features}
+    importances = model.importances(coefficients=False) or {c: 1.0 for c in model.features}
     return add_scores(
         scored, model.features, importances, metrics, profiles, as_of, check_thresholds(thresholds), spread, currency
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark import constants as C
-from riskspark.functions.columns import clip, column_or, lenient_double, lenient_long, present, round_even, text_flag
+from riskspark.functions.columns import clip, column_or, lenient_double, lenient_long, present, quoted, round_even, strip, text_flag
 from riskspark.functions.ordering import quantiles
 
 REJECT_REASON = "required field/range validation failed"
@@ -56,7 +56,7 @@ def complete_columns(df: DataFrame, as_of: str) -> DataFrame:
 
     fixed = {c: lenient_double(F.col(c)) for c in present(out, C.OUTLIER_COLUMNS)}
     if "severity" in have:
-        word = F.lower(F.trim(F.coalesce(F.col("severity").cast("string"), F.lit("low"))))
+        word = F.lower(strip(F.coalesce(F.col("severity").cast("string"), F.lit("low"))))
         fixed["severity"] = F.when(word.isin("informational", "none"), "info").otherwise(word)
     return out.withColumns(fixed)
 
@@ -88,7 +88,7 @@ def declared_rule_violations(df: DataFrame) -> DataFrame:
     rules = {}
     for c, allowed in (("severity", C.SEVERITIES), ("attack_vector", C.ATTACK_VECTORS)):
         if c in df.columns:
-            rules[f"{c} not allowed"] = ~F.lower(F.trim(c)).isin(allowed)
+            rules[f"{c} not allowed"] = ~F.lower(strip(F.col(c))).isin(allowed)
     for c in present(df, ["exploit_count", "affected_systems_count"]):
         rules[f"{c} negative"] = F.col(c) < 0
     for c, top in (("cvss_score", 10), ("epss_score", 1)):
@@ -109,7 +109,7 @@ def coerce_types(df: DataFrame) -> DataFrame:
     fixed |= {c: lenient_double(F.col(c)) for c in present(df, ["cvss_score", "epss_score"])}
     fixed |= {c: F.coalesce(lenient_long(F.col(c)), F.lit(0).cast("bigint")) for c in present(df, C.MEDIAN_COLUMNS)}
     words = present(df, ["severity", "attack_vector", "attack_complexity"])
-    fixed |= {c: F.lower(F.trim(F.col(c))) for c in words}
+    fixed |= {c: F.lower(strip(F.col(c))) for c in words}
     return df.withColumns(fixed) if fixed else df
 
 
@@ -259,10 +259,11 @@ _REDUCERS = {
 DISTINCT_COUNTS = {"cve_id": "unique_cve_count", "threat_actor": "unique_threat_actor_count"}
 
 
-def observed_severities(df: DataFrame, most: int = 1000) -> list[str]:
-    """The severity words in a table. They become columns, so free text is refused instead of being cut."""
-    found = df.where(F.col("severity").isNotNull()).select("severity").distinct().limit(most + 1).collect()
-    if len(found) > most:
+def observed_severities(df: DataFrame, most: int | None = None) -> list[str]:
+    """The severity words in a table. They become columns; with ``most``, more words are refused, never cut."""
+    words = df.where(F.col("severity").isNotNull()).select("severity").distinct()
+    found = (words if most is None else words.limit(most + 1)).collect()
+    if most is not None and len(found) > most:
         raise ValueError(f"severity has more than {most} values; pass the ones to count")
     return sorted(r["severity"] for r in found)
 
@@ -318,4 +319,4 @@ def aggregate_assets(
         out = out.join(counts, group_key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
     last = [*severity_columns, *[c for c in out.columns if c.startswith("_")]]
     names = list(distinct.values())
-    return out.select(*[c for c in out.columns if c not in {*names, *last}], *names, *last)
+    return out.select(*[quoted(c) for c in (*[c for c in out.columns if c not in {*names, *last}], *names, *last)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 from itertools import product
 from typing import Any
@@ -82,10 +82,10 @@ class LossModel:
         loss = F.expm1("prediction") if self.log_target else F.col("prediction")
         return scored.withColumn("_loss", loss).drop("prediction", "features").withColumnRenamed("_loss", output)
 
-    def importances(self) -> dict[str, float]:
-        """Feature importances, or coefficients of a linear model."""
+    def importances(self, coefficients: bool = True) -> dict[str, float]:
+        """Feature importances; of a linear model its coefficients, or nothing if those are not wanted."""
         values = getattr(self.regressor, "featureImportances", None)
-        if values is None:
+        if values is None and coefficients:
             values = getattr(self.regressor, "coefficients", None)
         return {} if values is None else dict(zip(self.features, values.toArray().tolist(), strict=True))
 
@@ -132,12 +132,43 @@ def random_forest(trees: int = 300, depth: int | None = None, min_leaf: int = 1,
     )
 
 
-def elastic_net(alpha: float = 1.0, l1_ratio: float = 0.5, max_iter: int = 1000) -> Estimator:
-    return LinearRegression(regParam=alpha, elasticNetParam=l1_ratio, standardization=False, maxIter=max_iter)
+@dataclass(frozen=True)
+class PenalisedLinear:
+    """Least squares (halved mean) plus ``alpha`` times the mixed L1 / L2 penalty, on the scale of the label.
+
+    MLlib divides the label by its standard deviation before it fits. That leaves the L1
+    penalty as asked and weakens the L2 penalty by that deviation, so the parameters are
+    chosen when the label is known.
+    """
+
+    alpha: float
+    l1_ratio: float
+    max_iter: int = 1000
+    features_col: str = "features"
+
+    def copy(self) -> PenalisedLinear:
+        return self
+
+    def setFeaturesCol(self, name: str) -> PenalisedLinear:  # noqa: N802 - the name estimators use
+        return replace(self, features_col=name)
+
+    def fit(self, data: DataFrame) -> Transformer:
+        spread = data.agg(F.stddev_samp("label")).first()[0] or 1.0
+        l1, l2 = self.alpha * self.l1_ratio, self.alpha * (1 - self.l1_ratio) * spread
+        total = l1 + l2
+        solver = LinearRegression(
+            featuresCol=self.features_col, regParam=total, elasticNetParam=l1 / total if total else 0.0, standardization=False,
+            maxIter=self.max_iter, tol=1e-9,
+        )
+        return solver.fit(data)
+
+
+def elastic_net(alpha: float = 1.0, l1_ratio: float = 0.5, max_iter: int = 1000) -> PenalisedLinear:
+    return PenalisedLinear(alpha, l1_ratio, max_iter)
 
 
-def model_registry(seed: int = 42, trees: int = 120, rounds: int = 120, depth: int | None = 14) -> dict[str, Estimator]:
-    """The candidate models. ``depth`` bounds the forest, whose trees grow level by level on the cluster."""
+def model_registry(seed: int = 42, trees: int = 120, rounds: int = 120, depth: int | None = None) -> dict[str, Estimator]:
+    """The candidate models; ``depth`` bounds the forest, None leaves it unlimited."""
     return {
         "Linear Regression": LinearRegression(),
         "ElasticNet": elastic_net(0.005, 0.2, 5000),
@@ -167,12 +198,15 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, medians: bool
     y, error = F.col(actual).cast("double"), F.col(actual).cast("double") - F.col(predicted)
     base = F.when(y == 0, F.lit(1.0)).otherwise(y)
     row = df.agg(
+        F.count(error).alias("n"),
         F.avg(F.abs(error)).alias("mae"),
         F.avg(error * error).alias("mse"),
         F.var_pop(y).alias("spread"),
         F.var_pop(error).alias("rest"),
         (F.avg(F.abs(error / base)) * 100).alias("mape"),
     ).first()
+    if not row["n"]:
+        raise ValueError("no rows to measure: the part is empty or has no known target")
     spread = row["spread"] or None
     out = {
         "mae": row["mae"],
@@ -407,8 +441,8 @@ def stacking_regressor(
         unseen = unseen.unionByName(part)
     unseen = materialize(unseen.drop("_features"), "stack")
     stacked = VectorAssembler(inputCols=[f"_base_{n}" for n in bases], outputCol="_stack").transform(unseen)
-    # The ridge penalty is per row here, while alpha counts once for all rows.
-    top = LinearRegression(featuresCol="_stack", regParam=ridge / max(stacked.count(), 1), standardization=False)
+    # The penalty is per row here, while alpha counts once for all rows.
+    top = PenalisedLinear(ridge / max(stacked.count(), 1), 0.0, features_col="_stack")
     return StackedModel(features, fitted(data), top.fit(stacked))
 
 
@@ -481,7 +515,7 @@ def learning_curve(
     seed: int = 42,
 ) -> DataFrame:
     """(share, train_rows, train_rmse, validation_rmse) for growing hash shares of the training rows."""
-    place, share = hash_fold(folds, seed), hash_share(seed + 1)
+    place, share = hash_fold(folds, seed), hash_share(seed, purpose="size")
     rows = []
     for size in sizes:
         sums = [0.0, 0.0, 0.0]
@@ -497,16 +531,16 @@ def learning_curve(
 
 
 def partial_dependence(
-    model: LossModel, df: DataFrame, features: Iterable[str] | None = None, rows: int = 1000, points: int = 100,
+    model: LossModel, df: DataFrame, features: Iterable[str] | None = None, rows: int | None = None, points: int = 100,
     seed: int = 42, key: str = "asset_id",
 ) -> DataFrame:
     """(feature, value, prediction): mean prediction with one feature held at each grid value.
 
-    The sample of 1000 rows is part of the method. The grid runs from the 5 % to
+    All rows are read unless ``rows`` asks for a sample. The grid runs from the 5 % to
     the 95 % quantile and is a literal, so rows are repeated without a join.
     """
     features = list(features or model.features[:3])
-    sample = materialize(df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(rows), "sample")
+    sample = df if rows is None else materialize(df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(rows), "sample")
     ends = quantiles(sample, {c: [0.05, 0.95] for c in features})
     out = None
     for c in features:

@@ -59,6 +59,8 @@ def threat_job(
     """
     clean = materialize(clean_threats(raw, as_of, tie_break, ROLLED_UP), "clean")
     imputer = impute.fit_imputer(clean, k, median_columns=())
+    if severities is None and "severity" in clean.columns:
+        severities = threat.observed_severities(clean)
     rows = threat.engineer_threats(imputer.transform(clean), as_of)
     if not normalize:
         return threat.aggregate_assets(rows, severities=severities)

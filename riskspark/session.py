@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -17,9 +20,8 @@ T = TypeVar("T")
 # A table is broadcast only after its rows were counted and found within this bound.
 BROADCAST_ROWS = 500_000
 
-
-# Folders made for applications that name none, as in tests.
-_OWN_FOLDERS: dict[str, str] = {}
+# The folder of each application.
+_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app: str = "riskspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,14 +46,25 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
+    """The folder for tables between passes: one per application, below what ``spark.checkpoint.dir`` names.
+
+    It is removed when the application ends. Without that setting only a local session gets
+    a temporary folder; on a cluster, where executors do not share disks, it is an error.
+    """
     application = spark.sparkContext.applicationId
-    if application not in _OWN_FOLDERS:
-        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="riskspark-")
-    return _OWN_FOLDERS[application]
+    if application not in _FOLDERS:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not base:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="riskspark-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
+        _FOLDERS[application] = f"{base.rstrip('/')}/riskspark-{application}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS[application])
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return _FOLDERS[application]
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -62,9 +75,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     each later pass read only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/riskspark-{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that :func:`materialize` wrote, once nothing reads them any more."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lookup(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

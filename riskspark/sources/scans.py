@@ -1,4 +1,7 @@
-"""Scanner reports as findings tables. A path may be one file or a folder of many."""
+"""Scanner reports as findings tables. A path may be one file or a folder of many.
+
+A report line or file that cannot be read fails the job instead of leaving a row of nulls.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark import constants as C
+from riskspark.functions.columns import strip
 
 NMAP_HOST = (
     "address array<struct<_addr:string>>, "
@@ -32,7 +36,7 @@ def _joined(value: Column) -> Column:
 
 def parse_nmap_xml(spark: SparkSession, path: str, asset_id: str | None = None) -> DataFrame:
     """One row per host and port."""
-    hosts = spark.read.format("xml").option("rowTag", "host").schema(NMAP_HOST).load(path)
+    hosts = spark.read.format("xml").option("rowTag", "host").option("mode", "FAILFAST").schema(NMAP_HOST).load(path)
     ip = F.col("address")[0]["_addr"]
     rows = hosts.select(ip.alias("ip_address"), F.explode("ports.port").alias("p"))
     return rows.select(
@@ -50,7 +54,7 @@ def parse_nmap_xml(spark: SparkSession, path: str, asset_id: str | None = None)
 
 def parse_nuclei_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One row per template match."""
-    items = spark.read.schema(NUCLEI).json(path)
+    items = spark.read.schema(NUCLEI).json(path, mode="FAILFAST")
     return items.select(
         F.coalesce(_given(F.col("host")), F.col("ip")).alias("asset_id"),
         F.lit("nuclei").alias("source_tool"),
@@ -65,8 +69,8 @@ def parse_nuclei_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_httpx_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One row per probed address; any TLS detail counts as TLS."""
-    items = spark.read.schema(HTTPX).json(path)
-    no_tls = F.lower(F.trim(F.coalesce("tls", F.lit("")))).isin("", "false", "0", "0.0", "{}", "[]", "null")
+    items = spark.read.schema(HTTPX).json(path, mode="FAILFAST")
+    no_tls = F.lower(strip(F.coalesce("tls", F.lit("")))).isin("", "false", "0", "0.0", "{}", "[]", "null")
     return items.select(
         F.coalesce(_given(F.col("host")), F.col("url")).alias("asset_id"),
         F.lit("httpx").alias("source_tool"),
@@ -81,7 +85,7 @@ def parse_httpx_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_whatweb_json(spark: SparkSession, path: str) -> DataFrame:
     """One row per target; the file holds one object or an array of them."""
-    items = spark.read.schema(WHATWEB).json(path, multiLine=True)
+    items = spark.read.schema(WHATWEB).json(path, multiLine=True, mode="FAILFAST")
     names = F.coalesce(F.map_keys("plugins"), F.array().cast("array<string>"))
     return items.select(
         F.col("target").alias("asset_id"),
@@ -104,7 +108,7 @@ def parse_naabu_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_subfinder_txt(spark: SparkSession, path: str, root_asset_id: str | None = None) -> DataFrame:
     """One row per subdomain line."""
-    lines = spark.read.text(path).select(F.trim("value").alias("subdomain")).where("subdomain <> ''")
+    lines = spark.read.text(path).select(strip(F.col("value")).alias("subdomain")).where("subdomain <> ''")
     return lines.select(
         (F.lit(root_asset_id) if root_asset_id else F.col("subdomain")).alias("asset_id"),
         F.lit("subfinder").alias("source_tool"),

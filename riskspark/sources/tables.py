@@ -36,7 +36,8 @@ def require_path(spark: SparkSession, path: str) -> None:
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """parquet, csv, json (one array per file) or jsonl.
 
-    Prefer parquet or jsonl for large inputs: an array file is read by one task.
+    Prefer parquet or jsonl for large inputs: an array file is read by one task, and so is a
+    csv file, since quoted cells may hold line breaks. A folder of many csv files is spread.
     With an explicit schema text formats need no extra pass to infer types.
     NaN is read as null.
     """
@@ -45,7 +46,7 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None
     if suffix == ".parquet":
         return nan_to_null(reader.parquet(path))
     if suffix == ".csv":
-        return nan_to_null(reader.csv(path, header=True, inferSchema=schema is None, escape='"'))
+        return nan_to_null(reader.csv(path, header=True, inferSchema=schema is None, escape='"', multiLine=True))
     if suffix in {".json", ".jsonl"}:
         return nan_to_null(reader.json(path, multiLine=suffix == ".json"))
     raise ValueError(f"Unsupported table format: {path}")
@@ -70,7 +71,7 @@ def load_threats(spark: SparkSession, path: str, schema: str | T.StructType | No
     """Raw threat CSV. Without a schema cells are read as text, in one pass, and numbers are cast leniently."""
     require_path(spark, path)
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.csv(path, header=True, escape='"')
+    df = reader.csv(path, header=True, escape='"', multiLine=True)
     numbers = {c: lenient_double(F.col(c)) for c in present(df, THREAT_NUMBERS)}
     return df.withColumns(numbers) if numbers else df
 
@@ -96,7 +97,7 @@ def read_assets(spark: SparkSession, path: str, fmt: str | None = None, **option
     if name == "parquet":
         return spark.read.options(**options).parquet(path)
     if name == "csv":
-        return spark.read.options(**options).csv(path, header=True, escape='"')
+        return spark.read.options(**options).csv(path, header=True, escape='"', multiLine=True)
     first = spark.read.text(path).select(F.ltrim("value").alias("line")).where("line <> ''").first()
     if first and not first["line"].startswith("["):
         raise ValueError("Expected a JSON array at the top level")
