@@ -42,6 +42,8 @@ MOST = 3
 FEATURES = ("word", "stem", "fuzzy_word", "fuzzy_stem", "quoted")
 STATES = 200_000
 CANDIDATES = 5000
+IMPURE = 0.05
+CHANCE = 1e-8  # a term that is no sign of toxicity reaches the least number of documents at most this likely
 
 
 def core(word: str) -> str:
@@ -183,13 +185,19 @@ class Finder:
         return tuple(min(MOST, n[x]) for x in FEATURES)
 
 
+def inputs(counts: tuple[int, ...]) -> list[float]:
+    """What the weights apply to: a fuzzy hit counts like an exact one, plus what learning finds to be different about it."""
+    word, stem, fuzzy_word, fuzzy_stem, quoted = counts
+    return [1, word + fuzzy_word, stem + fuzzy_stem, fuzzy_word, fuzzy_stem, quoted]
+
+
 @dataclass
 class Model:
     terms: dict[str, bool]
     weights: list[float]
 
     def score(self, counts: Iterable[int]) -> float:
-        z = self.weights[0] + sum(w * c for w, c in zip(self.weights[1:], counts, strict=True))
+        z = sum(w * x for w, x in zip(self.weights, inputs(tuple(counts)), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -205,7 +213,7 @@ def beginnings(words: Iterable[str], shortest: int = 4, longest: int = 12) -> se
 
 def choose_terms(stats: list[tuple[str, int, int]], least: int, most_terms: int = 2000) -> dict[str, bool]:
     """Terms of (candidate, toxic documents, other documents): the widest that are pure, no term inside another."""
-    pure = sorted((t for t in stats if t[1] >= least and t[2] <= 0.02 * t[1]), key=lambda t: (-t[1], -len(t[0].rstrip()), t[0]))
+    pure = sorted((t for t in stats if t[1] >= least and t[2] <= IMPURE * t[1]), key=lambda t: (-t[1], -len(t[0].rstrip()), t[0]))
     held = {t: n for t, n, _ in stats if n >= least}
     chosen: dict[str, bool] = {}
     taken: set[str] = set()
@@ -225,7 +233,7 @@ def choose_terms(stats: list[tuple[str, int, int]], least: int, most_terms: int
 
 def fit(groups: list[tuple[tuple[int, ...], int, int]], rounds: int = 50, ridge: float = 0.5) -> list[float]:
     """Weights of a ridge logistic model from (counts, toxic rows, all rows)."""
-    x = np.array([[1, *g[0]] for g in groups], float).reshape(len(groups), 1 + len(FEATURES))
+    x = np.array([inputs(g[0]) for g in groups], float).reshape(len(groups), 1 + len(FEATURES))
     pos, n = (np.array([g[i] for g in groups], float) for i in (1, 2))
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
@@ -258,10 +266,10 @@ def learn(marked: DataFrame) -> Model:
     yes, no = totals.get(1, 0), totals.get(0, 0)
     if not yes or not no:
         return Model({}, [math.log((yes + 0.5) / (no + 0.5)), *[0.0] * len(FEATURES)])
-    least = max(3, yes // 200)
+    least = max(3, math.ceil(math.log(CHANCE) / math.log(yes / (yes + no))), yes // 200)
     stats = rows.mapInArrow(candidates, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     # The lexicon comes from the most frequent pure candidates; with ``least`` tied to the sample they are few.
-    found = stats.where((F.col("pos") >= least) & (F.col("neg") <= 0.02 * F.col("pos"))).orderBy(F.desc("pos"), "term").limit(CANDIDATES).collect()
+    found = stats.where((F.col("pos") >= least) & (F.col("neg") <= IMPURE * F.col("pos"))).orderBy(F.desc("pos"), "term").limit(CANDIDATES).collect()
     terms = choose_terms([(r["term"], r["pos"], r["neg"]) for r in found], least)
     shared = rows.sparkSession.sparkContext.broadcast(terms)
 
