@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm import common as K
-from riskspark.session import materialize
+from riskspark.session import discard, materialize
 
 SLOTS = 1 << 18
 BINS = 16
@@ -191,10 +191,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = signs.where("n > 0").select("cls", "n", F.posexplode("prefix").alias("pos", "shingle"))
     shared = postings.groupBy("shingle").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("shingle")
     lists = materialize(postings.join(shared.hint("shuffle_hash"), "shingle").distinct(), "lists")
+    whole, signs = signs, materialize(signs.drop("prefix"), "signatures")
+    discard(whole)
     links = verified(hub_pairs(lists, per_cent), rows, signs, size, per_cent)
     roots = K.components(links)
     more = verified(rest_pairs(lists, roots, per_cent), rows, signs, size, per_cent)
     roots = K.components(links.unionAll(more))
+    discard(lists)
 
     key = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     classes = signs.where("n > 0").groupBy("cls").agg(F.min(key).alias("least")).join(roots, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("root", "cls").alias("root"), "least")
