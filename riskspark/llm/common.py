@@ -160,10 +160,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(least.select("a", F.col("low").alias("b")))
         after = materialize(small.where("a <> b").distinct(), "edges")
-        inner = after.select(F.col("b").alias("a")).distinct().join(after.select("a").distinct(), "a", "left_semi").limit(1).count()
-        twice = after.groupBy("a").count().where("count > 1").limit(1).count()
+        # Stars only: every node hangs on one other, which hangs on none.
+        ends = after.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionAll(after.select("b", F.lit(0), F.lit(1)))
+        open_nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs + holds > 1 and hangs > 0").limit(1).count()
         edges = after
-        if not inner and not twice:
+        if not open_nodes:
             break
     else:
         raise RuntimeError("components did not settle")
