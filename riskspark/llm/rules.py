@@ -188,12 +188,16 @@ def learn(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_
     marks = labels.select(F.col(id_col).cast("long").alias("_id"), (F.col(label_col) == 0).cast("int").alias("poor")).where("_id is not null and poor is not null")
     marked = measured.join(marks, measured.id == marks._id).select("poor", "_id", *[ratio(n).alias(n) for n in RATIOS])
     marked = materialize(marked, "labelled")
-    shares = [i / BINS for i in range(1, BINS)]
+    shares = [i / BINS for i in range(BINS + 1)]
     quantiles = marked.agg(*[F.percentile_approx(n, shares, 2000).alias(n) for n in RATIOS], F.sum("poor").alias("poor"), F.count("*").alias("all")).first()
     if not quantiles["all"] or not 0 < quantiles["poor"] < quantiles["all"]:
         return []
-    cuts = {n: sorted(set(quantiles[n])) for n in RATIOS}
-    bins = [F.expr(f"aggregate(array({', '.join(f'{t!r}D' for t in cuts[n])}), 0, (k, t) -> k + int(`{n}` > t))").alias(n) for n in RATIOS]
+    # Thresholds lie half-way between neighbouring quantiles, the ends included, so a rule keeps its distance from both sides.
+    cuts = {}
+    for n in RATIOS:
+        marks = sorted(set(quantiles[n]))
+        cuts[n] = [(a + b) / 2 for a, b in zip(marks, marks[1:], strict=False)]
+    bins = [F.expr(f"aggregate(cast(array({', '.join(f'{t!r}D' for t in cuts[n])}) as array<double>), 0, (k, t) -> k + int(`{n}` > t))").alias(n) for n in RATIOS]
     binned = materialize(marked.select("poor", F.pmod(F.xxhash64("_id", F.lit(29)), F.lit(3)).alias("part"), *bins), "binned")
     rules: list[Rule] = []
     left = binned
