@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.functions.columns import quoted
 from riskspark.session import is_small, lookup, materialize
 
 # Up to this many distinct values, counted beforehand, a plain window per column is used.
@@ -23,7 +24,7 @@ DIRECT_BYTES = 10 << 30
 
 def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """(name, value, n) of the non-null, non-NaN values of several columns in one pass."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(quoted(c)).cast("double").alias("value")) for c in columns])
     return (
         df.select(F.explode(pairs).alias("p"))
         .select("p.name", "p.value")
@@ -143,7 +144,7 @@ def _narrowed_quantiles(
     """
     margin = 3.0 / accuracy
     marks = {c: [q for p in ps for q in (max(p - margin, 0.0), min(p + margin, 1.0))] for c, ps in wanted.items()}
-    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in wanted}
+    known = {c: F.when(~F.isnan(F.col(quoted(c)).cast("double")), F.col(quoted(c)).cast("double")) for c in wanted}
     first = df.agg(
         *[F.count(known[c]).alias(f"{c}|n") for c in wanted],
         *[F.percentile_approx(known[c], marks[c], accuracy).alias(f"{c}|m") for c in wanted],

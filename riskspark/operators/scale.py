@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark import constants as C
-from riskspark.functions.columns import numeric_columns, present
+from riskspark.functions.columns import numeric_columns, present, quoted
 from riskspark.functions.ordering import quantiles
 
 SCALER_SCHEMA = "column string, kind string, shift double, scale double"
@@ -24,7 +24,7 @@ class Scaler:
     def transform(self, df: DataFrame) -> DataFrame:
         """Scale the columns the table has; null stays null."""
         new = {
-            c: (F.col(c).cast("double") - F.lit(shift)) / F.lit(scale)
+            c: (F.col(quoted(c)).cast("double") - F.lit(shift)) / F.lit(scale)
             for c, (_, shift, scale) in self.params.items()
             if c in df.columns
         }
@@ -56,7 +56,7 @@ def fit_scaler(
     wanted += [(c, n, f) for c in standard for n, f in (("mean", F.avg), ("dev", F.stddev_pop))]
     if not wanted:
         return Scaler({})
-    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}|{n}") for c, n, f in wanted]).first().asDict()
+    row = df.agg(*[f(F.col(quoted(c)).cast("double")).alias(f"{c}|{n}") for c, n, f in wanted]).first().asDict()
     params = {}
     for c in minmax:
         if row[f"{c}|lo"] is not None:
