@@ -29,7 +29,7 @@ from riskspark.llm import common as K
 from riskspark.session import discard, materialize
 
 SLOTS = 1 << 18
-BINS = 16
+BINS = 256  # ranges of the hash over which the suffix filter compares two sets
 PER_CENT = 80
 
 
@@ -82,7 +82,7 @@ def signatures(rows: DataFrame, size: int, per_cent: int) -> DataFrame:
                     n = len(h)
                     cls.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())))) if n else None)
                     sizes.append(n)
-                    bins.append(np.bincount((h >> np.uint64(60)).astype(np.int64), minlength=BINS))
+                    bins.append(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=BINS))
                     first = h[np.lexsort((h, counts.value[slots(h).astype(np.int64)]))][: prefix_length(n, per_cent)] if n else h
                     prefixes.append(K.signed(first))
                 part = batch.slice(at, 1000)
@@ -147,13 +147,16 @@ def verified(pairs: DataFrame, rows: DataFrame, signs: DataFrame, size: int, per
     """Links (a, b): the suffix filter, then the exact sizes of intersection and union from both texts."""
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select(F.col("b").alias("cls"))).distinct()
-    chosen = materialize(
-        signs.select("cls", "row", "n", "bins").join(wanted, "cls").groupBy("cls").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("bins").alias("bins")), "chosen"
-    )
+    # One row stands for a class; it is picked before any bins are moved, as a class may have very many copies.
+    picked = materialize(signs.where("n > 0").groupBy("cls").agg(F.min("row").alias("row")).join(wanted, "cls"), "picked")
+    chosen = materialize(K.among(signs.select("row", "n", "bins"), "row", picked.select("row")).join(picked, "row"), "chosen")
     left, right = (chosen.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("bins").alias(f"bins{x}")) for x in "ab")
     both = F.aggregate(F.zip_with("binsa", "binsb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     close = pairs.join(left, "a").join(right, "b").where((100 + per_cent) * both >= needed(F.col("na"), F.col("nb"), per_cent)).select("a", "b")
-    texts = K.among(rows.select("row", F.col("text").cast("binary").alias("text")), "row", chosen.select("row")).join(chosen.select("row", "cls"), "row").select("cls", "text")
+    close = materialize(close, "close")
+    asked = close.select(F.col("a").alias("cls")).unionAll(close.select(F.col("b").alias("cls"))).distinct()
+    asked = materialize(chosen.select("cls", "row").join(asked, "cls"), "asked")
+    texts = K.among(rows.select("row", F.col("text").cast("binary").alias("text")), "row", asked.select("row")).join(asked, "row").select("cls", "text")
     joined = close.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
 
     def make():
