@@ -99,11 +99,12 @@ def keyed(docs: DataFrame, id_col: str, tag: str) -> DataFrame:
     """``docs`` with a unique key per row, ``_row``.
 
     Unique ids serve as keys themselves. Where ids are null or repeated, the rows
-    are numbered and written once, so that every later pass sees the same numbers.
+    are numbered in the order of the ids, nulls last, and written once, so that every later
+    pass sees the same numbers.
     """
     named = docs.withColumn("_row", F.col(id_col).cast("long"))
     odd = named.groupBy("_row").count().where("_row is null or count > 1").limit(1).count()
-    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), tag) if odd else named
+    return materialize(docs.orderBy(F.asc_nulls_last(id_col)).withColumn("_row", F.monotonically_increasing_id()), tag) if odd else named
 
 
 def with_rows(docs: DataFrame, id_col: str, text_col: str, tag: str) -> DataFrame:
