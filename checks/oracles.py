@@ -669,6 +669,30 @@ def oracle_sql() -> dict[str, str]:
         "loss_custom_costs": chain(
             f"SELECT {row}, {settled('100.0::DOUBLE * 60 * hours', 2, 'loss_downtime_usd')} FROM {LOSS_INPUTS}", "threat"
         ),
+        "table_round_trips": chain(f"SELECT {row}, severity, cvss_score, exploit_count, suffix FROM threat CROSS JOIN (SELECT unnest(['.parquet', '.csv', '.jsonl']) AS suffix)", "threat"),
+        "nuclei_report": chain(
+            "SELECT asset_id, 'nuclei' AS source_tool, asset_id AS host, event_id::VARCHAR AS matched_at, source_tool AS template_id, upper(coalesce(severity, '')) AS severity, source_tool AS finding_name, 'a,b' AS tags FROM finding",
+            "finding",
+        ),
+        "httpx_report": chain(
+            "SELECT CASE WHEN event_id % 3 > 0 THEN asset_id ELSE 'http://' || asset_id END AS asset_id, 'httpx' AS source_tool, 'http://' || asset_id AS url, event_id % 5 * 100 AS status_code, severity AS title, "
+            "source_tool AS tech_stack, event_id % 2 = 0 AS tls, 'cdn' AS waf FROM finding",
+            "finding",
+        ),
+        "naabu_report": chain("SELECT asset_id, event_id::VARCHAR AS ip_address, TRY_CAST(port AS INT) AS port, 'naabu' AS source_tool FROM finding", "finding"),
+        "subfinder_report": chain("SELECT subdomain AS asset_id, 'subfinder' AS source_tool, subdomain FROM finding WHERE subdomain IS NOT NULL", "finding"),
+        "stacked_findings": chain(
+            "SELECT 'nuclei' AS source_tool, count(*) AS findings, count(*) AS with_severity, 0::BIGINT AS with_subdomain FROM finding UNION ALL "
+            "SELECT 'subfinder', count(subdomain), 0, count(subdomain) FROM finding",
+            "finding",
+        ),
+        "merge_kinds": chain(
+            " UNION ALL ".join(
+                f"SELECT asset_id, r.vuln_count, p.finding_count, '{how}' AS how FROM rolled_raw r {join} JOIN pentest_scored p USING (asset_id)"
+                for how, join in [("inner", "INNER"), ("right", "RIGHT"), ("outer", "FULL")]
+            ),
+            "rolled_raw", "pentest_scored",
+        ),
         "data_split": chain(
             f"SELECT asset_id, CASE WHEN s < 0.7 THEN 'train' WHEN s < 0.85 THEN 'val' ELSE 'test' END AS part FROM (SELECT asset_id, {share('split')} AS s FROM priced_raw)",
             "priced_raw",

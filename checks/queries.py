@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.regression import LinearRegression
@@ -14,7 +15,8 @@ from riskspark import constants as C
 from riskspark.functions.ordering import average_percent_rank
 from riskspark.operators import assets, features, impute, loss, merge, pentest, profile, scale, score, select, threat, train
 from riskspark.plans import jobs
-from riskspark.session import materialize
+from riskspark.session import materialize, shared_folder
+from riskspark.sources import scans, tables
 
 TIES = ["tie_a", "tie_b", "tie_c"]
 ROW = O.ROW
@@ -363,6 +365,75 @@ def export_view(spark, d):
     return rows.select(*score.export_columns(rows))
 
 
+# --- sources: tables and reports written first, then read back --------------------
+
+
+def scratch_path(spark: SparkSession, suffix: str) -> str:
+    return f"{shared_folder(spark)}/source-{uuid.uuid4().hex}{suffix}"
+
+
+def table_round_trips(spark, d):
+    """The threat rows written and read back in every format."""
+    rows = P.threats(spark, d).select(*ROW, "severity", "cvss_score", "exploit_count")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    parts = [
+        tables.read_table(spark, tables.write_table(rows, scratch_path(spark, suffix)), kinds).withColumn("suffix", F.lit(suffix))
+        for suffix in (".parquet", ".csv", ".jsonl")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def nuclei_report(spark, d):
+    info = F.struct("severity", F.col("source_tool").alias("name"), F.array(F.lit("a"), F.lit("b")).alias("tags"))
+    fields = [F.col("asset_id").alias("host"), F.col("event_id").cast("string").alias("matched-at"), F.col("source_tool").alias("template-id"), info.alias("info")]
+    path = scratch_path(spark, "")
+    P.findings(spark, d).select(F.to_json(F.struct(*fields)).alias("value")).write.text(path)
+    return scans.parse_nuclei_jsonl(spark, path)
+
+
+def httpx_report(spark, d):
+    fields = [
+        F.when(F.col("event_id") % 3 > 0, F.col("asset_id")).otherwise("").alias("host"),
+        F.concat(F.lit("http://"), "asset_id").alias("url"),
+        (F.col("event_id") % 5 * 100).alias("status_code"),
+        F.col("severity").alias("title"),
+        F.array("source_tool").alias("tech"),
+        F.when(F.col("event_id") % 2 == 0, F.struct(F.lit("1.3").alias("version"))).alias("tls"),
+        F.lit("").alias("webserver"),
+        F.lit("cdn").alias("cdn_name"),
+    ]
+    path = scratch_path(spark, "")
+    P.findings(spark, d).select(F.to_json(F.struct(*fields)).alias("value")).write.text(path)
+    return scans.parse_httpx_jsonl(spark, path)
+
+
+def naabu_report(spark, d):
+    path = scratch_path(spark, ".csv")
+    P.findings(spark, d).select(F.col("asset_id").alias("host"), F.col("event_id").alias("ip"), "port").write.csv(path, header=True)
+    return scans.parse_naabu_csv(spark, path)
+
+
+def subfinder_report(spark, d):
+    path = scratch_path(spark, ".txt")
+    P.findings(spark, d).where("subdomain IS NOT NULL").select(F.concat(F.lit("\t"), "subdomain", F.lit(" ")).alias("value")).write.text(path)
+    return scans.parse_subfinder_txt(spark, path)
+
+
+def stacked_findings(spark, d):
+    found = pentest.stack_findings([nuclei_report(spark, d), subfinder_report(spark, d)])
+    return found.groupBy("source_tool").agg(F.count(F.lit(1)).alias("findings"), F.count("severity").alias("with_severity"), F.count("subdomain").alias("with_subdomain"))
+
+
+def merge_kinds(spark, d):
+    """Rows of the other join kinds."""
+    left, right = materialize(rolled(spark, d), "part"), materialize(jobs.pentest_job(P.findings(spark, d)), "part")
+    out = None
+    for how in ("inner", "right", "outer"):
+        part = merge.merge_on_asset_id([left, right], how=how).select("asset_id", "vuln_count", "finding_count", F.lit(how).alias("how"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- splits and one-feature models: SQL has the same regression -------------------
 
 
@@ -468,7 +539,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         percent_rank_rows, mutual_information, one_hot, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
-        partial_dependence, learning_curve, stacking, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
+        partial_dependence, learning_curve, stacking, table_round_trips, nuclei_report, httpx_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
     )
 }
 QUERIES["portfolio"] = portfolio_query

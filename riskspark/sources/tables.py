@@ -59,7 +59,7 @@ def write_table(df: DataFrame, path: str) -> str:
     if suffix == ".parquet":
         writer.parquet(path)
     elif suffix == ".csv":
-        writer.csv(path, header=True, escape='"')
+        writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     elif suffix == ".jsonl":
         writer.json(path, ignoreNullFields=False)
     else:
