@@ -230,6 +230,18 @@ def test_passages_are_found_and_cut(spark):
     assert kept[9]["text"].split() == rows[9][1].split()[:90] + rows[9][1].split()[170:]
 
 
+@pytest.mark.parametrize("every", [5, 6, 7, 10, 20])
+def test_passages_with_a_change_in_every_few_words_are_found(spark, every):
+    rng = random.Random(every)
+    rows = []
+    for i in range(20):
+        passage = text_of(rng, 60).split(" ")
+        changed = [f"new{i}x{k}" if k % every == every - 1 else w for k, w in enumerate(passage)]
+        rows += [(2 * i, " ".join([text_of(rng, 30), *passage, text_of(rng, 30)])), (2 * i + 1, " ".join([text_of(rng, 25), *changed, text_of(rng, 25)]))]
+    found = {(r["id"], r["source_id"]) for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    assert {(2 * i + 1, 2 * i) for i in range(20)} <= found
+
+
 def test_passages_on_odd_rows(odd, none):
     chains.repeated_passages(odd).collect()
     assert chains.without_repeats(odd).count() == len(ODD)
