@@ -242,6 +242,17 @@ def test_passages_with_a_change_in_every_few_words_are_found(spark, every):
     assert {(2 * i + 1, 2 * i) for i in range(20)} <= found
 
 
+@pytest.mark.parametrize("n", [3, 40])
+def test_passages_of_frequent_lines_are_found(spark, n):
+    rng = random.Random(n)
+    a, b, c = (text_of(rng, 20) for _ in range(3))
+    # Earlier documents hold two of the three lines, which is too short for a passage.
+    rows = [(i, " ".join([text_of(rng, 40), *((a, b) if i % 2 else (b, c)), text_of(rng, 40)])) for i in range(2 * n)]
+    rows += [(i, " ".join([text_of(rng, 30), a, b, c, text_of(rng, 30)])) for i in range(2 * n, 3 * n)]
+    whole = {r["id"] for r in chains.repeated_passages(frame(spark, rows)).collect() if r["start"] <= 30 and r["end"] >= 90}
+    assert whole == set(range(2 * n + 1, 3 * n))
+
+
 def test_passages_on_odd_rows(odd, none):
     chains.repeated_passages(odd).collect()
     assert chains.without_repeats(odd).count() == len(ODD)
