@@ -8,13 +8,16 @@ templates and the passages that are compared. Passages begin and end with a
 bigram of the template, as others can only lower the coefficient.
 
 Every text is read whole. Null and empty texts match nothing, a template of one word is not
-used. Of overlapping passages the best stays, of equal ones the first.
+used. Of overlapping passages of one template the one of the highest coefficient stays; between templates
+the one with the most shared bigrams, less half of those that only one side has, so that a text
+goes to the larger of two templates that begin alike if it holds more than half of the rest.
 Rows with null or repeated ids are reported with their id as it is.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from dataclasses import dataclass
 
@@ -111,6 +114,35 @@ class Template:
         return int(np.ceil(self.size * least / (2 - least) - 1e-9)), int(np.floor(self.size * (2 - least) / least + 1e-9))
 
 
+@dataclass
+class Match:
+    license: str
+    dice: float
+    start: int
+    end: int
+    net: float  # shared bigrams, less half of those that only the passage or the template has
+
+
+def apart(found: list[list[Match]]) -> list[Match]:
+    """Matches that do not overlap, from the matches of each template: the best left of each template, then of these the largest."""
+    queues = [sorted(part, key=lambda m: (m.dice, -m.start, -m.end)) for part in found]
+    out: list[Match] = []
+    taken: list[tuple[int, int]] = []
+    while True:
+        for queue in queues:
+            while queue:
+                k = bisect_left(taken, (queue[-1].end, 0))
+                if not k or taken[k - 1][1] <= queue[-1].start:
+                    break
+                queue.pop()
+        queues = [queue for queue in queues if queue]
+        if not queues:
+            return out
+        best = min(queues, key=lambda q: (-q[-1].net, -q[-1].dice, q[-1].start, q[-1].end, q[-1].license)).pop()
+        out.append(best)
+        insort(taken, (best.start, best.end))
+
+
 class Scanner:
     def __init__(self, templates: dict[str, list[str]], least: float):
         self.least, self.cache = least, K.WordHashes()
@@ -134,14 +166,15 @@ class Scanner:
         for p in hits.tolist():
             for t in self.of.get(int(h[p]), ()):
                 places.setdefault(t, []).append((p, int(h[p])))
-        found: list[tuple[str, float, int, int]] = []
+        found: list[list[Match]] = []
         for t, marks in places.items():
             template = self.templates[t]
             low, high = template.bounds(self.least)
             if 2 * len(marks) < self.least * (low + template.size):
                 continue
+            found.append([])
             for i, (start, _) in enumerate(marks):
-                left, shared, best = dict(template.bag), 0, (0.0, 0)
+                left, shared, best = dict(template.bag), 0, (0.0, 0, 0.0)
                 for p, value in marks[i:]:
                     size = p - start + 1
                     if size > high:
@@ -151,14 +184,10 @@ class Scanner:
                         shared += 1
                         dice = 2 * shared / (size + template.size)
                         if size >= low and dice > best[0]:
-                            best = (dice, p + 2)
+                            best = (dice, p + 2, 2 * shared - (size + template.size) / 2)
                 if best[0] >= self.least:
-                    found.append((template.license, best[0], start, best[1]))
-        out: list[tuple[str, float, int, int]] = []
-        for match in sorted(found, key=lambda x: (-x[1], x[2], x[3], x[0])):
-            if all(match[3] <= m[2] or match[2] >= m[3] for m in out):
-                out.append(match)
-        return sorted(out, key=lambda x: (x[0], x[2]))
+                    found[-1].append(Match(template.license, best[0], start, best[1], best[2]))
+        return sorted(((m.license, m.dice, m.start, m.end) for m in apart(found)), key=lambda x: (x[0], x[2]))
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:

@@ -338,6 +338,20 @@ def test_license_scan(spark, odd, none):
     assert licenses.scan(odd).count() == 0 and licenses.scan(none).count() == 0
 
 
+@pytest.mark.parametrize("name,text", [(n, t) for n, ts in sorted(licenses.TEMPLATES.items()) for t in ts])
+def test_each_template_is_its_own_license(name, text):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST)
+    raw = text.encode()
+    assert scanner.scan(b"some words before " + raw + b" and behind") == [(name, 1.0, 3, 3 + len(licenses.normalised(raw)))]
+
+
+def test_license_with_edits_in_its_last_clause():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST)
+    text = licenses.TEMPLATES["BSD-3-Clause"][1].replace("the copyright holder nor", "Example Inc nor")
+    assert [m[0] for m in scanner.scan(text.encode())] == ["BSD-3-Clause"]
+    assert [m[0] for m in scanner.scan(f"{text} {licenses.BSD_TERMS} {text}".encode())] == ["BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause"]
+
+
 def test_license_scan_by_force():
     rng = random.Random(6)
     scanner = licenses.Scanner({"A": ["a b c d e f g h"]}, 0.8)
