@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import bpe, brown, chains, chat, jaccard, leaks, licenses, rules, suffix, toxicity
+from riskspark.llm import align, bpe, brown, chains, chat, fim, jaccard, leaks, licenses, rules, suffix, toxicity, topk
 from riskspark.llm.common import documents
 
 
@@ -65,6 +65,31 @@ def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffix.digests(documents(spark, d)).withColumnRenamed("id", "doc_id")
 
 
+def op11_fim(spark: SparkSession, d: str) -> DataFrame:
+    out = fim.fim(documents(spark, d))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_token_alignment(spark: SparkSession, d: str, a_vocabulary: str = VOCABULARY, b_model: str = PIECES) -> DataFrame:
+    out = align.align(documents(spark, d), str(a_vocabulary), str(b_model))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op13_topk_search(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -76,6 +101,9 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_fim": op11_fim,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_topk_search": op13_topk_search,
 }
 
 JACCARD_SQL = """
@@ -111,4 +139,46 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-SQL = {"op5_ngram_jaccard": JACCARD_SQL, "op8_chat_formatting": CHAT_SQL}
+FIM_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    ('0x' || substr(h, 1, 8))::UBIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::UBIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, len(u) AS n,
+    least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form = 'plain' THEN NULL ELSE length(pre)::BIGINT END AS prefix_chars,
+  CASE WHEN form = 'plain' THEN NULL ELSE length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+SQL = {"op5_ngram_jaccard": JACCARD_SQL, "op8_chat_formatting": CHAT_SQL, "op11_fim": FIM_SQL, "op13_topk_search": TOPK_SQL}
