@@ -729,4 +729,59 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT {rounded('cvss_score * 10', 2)}, epss_score, NULL, tie_a, tie_b FROM threat WHERE exploit_count IS NULL",
             "threat",
         ),
-    }
+        } | {"tree_attributions": tree_attributions_sql()}
+
+
+def tree_attributions_sql() -> str:
+    """Exact Shapley values of two fixed trees by walking every subset of the three features.
+
+    Fixed values: the node tables (tree, node, feature, threshold, left, right, leaf value,
+    cover) and the tree weights of the query; features 0, 1, 2 are l_quantity,
+    l_extendedprice, l_discount. A walk holds the share of a row under each subset: known
+    features follow the row, unknown ones split by cover.
+    """
+    return f"""
+WITH RECURSIVE nodes(tree, node, feature, threshold, lft, rgt, value, cover) AS (VALUES
+  (0, 0, 0, 25.0, 1, 2, 0.0, 100.0), (0, 1, 2, 0.05, 3, 4, 0.0, 50.0), (0, 2, 1, 40000.0, 5, 6, 0.0, 50.0),
+  (0, 3, -1, 0.0, -1, -1, 10.0, 30.0), (0, 4, -1, 0.0, -1, -1, 20.0, 20.0), (0, 5, -1, 0.0, -1, -1, 30.0, 10.0),
+  (0, 6, 0, 40.0, 7, 8, 0.0, 40.0), (0, 7, -1, 0.0, -1, -1, 50.0, 25.0), (0, 8, -1, 0.0, -1, -1, 70.0, 15.0),
+  (1, 0, 2, 0.03, 1, 2, 0.0, 80.0), (1, 1, -1, 0.0, -1, -1, -4.0, 20.0), (1, 2, 1, 20000.0, 3, 4, 0.0, 60.0),
+  (1, 3, -1, 0.0, -1, -1, 6.0, 45.0), (1, 4, -1, 0.0, -1, -1, 12.0, 15.0)
+), weights(tree, w) AS (VALUES (0, 1.0), (1, 0.5)),
+r AS (
+  SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber,
+    [CAST(l_quantity AS DOUBLE), CAST(l_extendedprice AS DOUBLE), CAST(l_discount AS DOUBLE)] AS x
+  FROM lineitem
+),
+walk(rid, x, s, tree, node, share) AS (
+  SELECT r.rid, r.x, sub.range, w.tree, 0, 1.0::DOUBLE FROM r, range(8) sub, weights w
+  UNION ALL
+  SELECT k.rid, k.x, k.s, k.tree, c.node,
+    k.share * CASE WHEN (k.s >> n.feature) & 1 = 1
+                   THEN CASE WHEN (k.x[n.feature + 1] <= n.threshold) = (c.node = n.lft) THEN 1.0 ELSE 0.0 END
+                   ELSE c.cover / n.cover END
+  FROM walk k
+  JOIN nodes n ON n.tree = k.tree AND n.node = k.node AND n.feature >= 0
+  JOIN nodes c ON c.tree = n.tree AND (c.node = n.lft OR c.node = n.rgt)
+  WHERE k.share > 0
+),
+v AS (
+  SELECT k.rid, k.s, sum(k.share * n.value * w.w) AS v
+  FROM walk k JOIN nodes n ON n.tree = k.tree AND n.node = k.node AND n.feature < 0 JOIN weights w ON w.tree = k.tree
+  GROUP BY k.rid, k.s
+),
+phi AS (
+  SELECT a.rid, i.range AS i,
+    sum(CASE bit_count(a.s::TINYINT) WHEN 1 THEN 1.0 / 6 ELSE 1.0 / 3 END * (b.v - a.v)) AS phi
+  FROM v a JOIN range(3) i ON (a.s >> i.range) & 1 = 0
+  JOIN v b ON b.rid = a.rid AND b.s = a.s | (1 << i.range)
+  GROUP BY a.rid, i.range
+)
+SELECT r.l_orderkey, r.l_linenumber,
+  {settled("(SELECT v FROM v WHERE v.rid = r.rid AND v.s = 0)", 6, "base_value")},
+  {settled("(SELECT v FROM v WHERE v.rid = r.rid AND v.s = 7)", 6, "prediction")},
+  {settled("(SELECT phi FROM phi WHERE phi.rid = r.rid AND phi.i = 0)", 6, "phi_quantity")},
+  {settled("(SELECT phi FROM phi WHERE phi.rid = r.rid AND phi.i = 1)", 6, "phi_extendedprice")},
+  {settled("(SELECT phi FROM phi WHERE phi.rid = r.rid AND phi.i = 2)", 6, "phi_discount")}
+FROM r
+"""

@@ -13,7 +13,7 @@ from checks import oracles as O
 from checks import proxies as P
 from riskspark import constants as C
 from riskspark.functions.ordering import average_percent_rank
-from riskspark.operators import assets, features, impute, loss, merge, pentest, profile, scale, score, select, threat, train
+from riskspark.operators import assets, attribution, features, impute, loss, merge, pentest, profile, scale, score, select, threat, train
 from riskspark.plans import jobs
 from riskspark.session import materialize, shared_folder
 from riskspark.sources import scans, tables
@@ -524,6 +524,55 @@ def permutation_importance(spark, d):
     return train.permutation_importance(model, rows)
 
 
+# Two trees over l_quantity (0), l_extendedprice (1), l_discount (2), as rows
+# (feature, threshold, left, right, leaf value, cover) per node, and their weights.
+FIXED_TREES = (
+    [(0, 25.0, 1, 2, 0.0, 100.0), (2, 0.05, 3, 4, 0.0, 50.0), (1, 40000.0, 5, 6, 0.0, 50.0), (-1, 0.0, -1, -1, 10.0, 30.0),
+     (-1, 0.0, -1, -1, 20.0, 20.0), (-1, 0.0, -1, -1, 30.0, 10.0), (0, 40.0, 7, 8, 0.0, 40.0), (-1, 0.0, -1, -1, 50.0, 25.0),
+     (-1, 0.0, -1, -1, 70.0, 15.0)],
+    [(2, 0.03, 1, 2, 0.0, 80.0), (-1, 0.0, -1, -1, -4.0, 20.0), (1, 20000.0, 3, 4, 0.0, 60.0), (-1, 0.0, -1, -1, 6.0, 45.0),
+     (-1, 0.0, -1, -1, 12.0, 15.0)],
+)
+FIXED_WEIGHTS = [1.0, 0.5]
+FIXED_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def fixed_trees() -> list[attribution.Tree]:
+    import numpy as np
+
+    return [attribution.Tree(*(np.array(col, float if k >= 4 or k == 1 else int) for k, col in enumerate(zip(*nodes)))) for nodes in FIXED_TREES]
+
+
+def tree_attributions(spark, d):
+    """Attributions of every lineitem row under two fixed trees; prediction = base + their sum."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in FIXED_FEATURES])
+    trees = fixed_trees()
+    base = attribution.base_value(trees, FIXED_WEIGHTS)
+    out = attribution.with_attributions(rows, FIXED_FEATURES, trees, FIXED_WEIGHTS, "phi")
+    total = F.aggregate("phi", F.lit(0.0), lambda acc, v: acc + v)
+    return out.select(
+        "l_orderkey", "l_linenumber", settle(F.lit(base), 6, "base_value"), settle(F.lit(base) + total, 6, "prediction"),
+        *[settle(F.col("phi")[i], 6, f"phi_{c[2:]}") for i, c in enumerate(FIXED_FEATURES)],
+    )
+
+
+def shap_importance(spark, d):
+    """Mean absolute attribution per feature of the boosted model over all rows, and the worst additivity gap."""
+    rows, model = boosted(spark, d)
+    trees, weights = attribution.mllib_trees(model.regressor)
+    base = attribution.base_value(trees, weights)
+    scored = model.regressor.transform(model.prepared(rows))
+    explained = materialize(
+        scored.select("prediction", attribution.attribution_of(score.vector_to_array("features"), len(model.features), trees, weights).alias("attributions")),
+        "explained",
+    )
+    importance = attribution.mean_abs(explained, model.features)
+    summed = F.aggregate("attributions", F.lit(base), lambda acc, v: acc + v)
+    gap = explained.agg(F.max(F.abs(summed - F.col("prediction"))).alias("gap")).first()["gap"]
+    data = [(c, float(v), float(base), float(gap or 0.0)) for c, v in importance.items()]
+    return spark.createDataFrame(data, "feature string, mean_abs_shap double, base_value double, max_additivity_gap double")
+
+
 def stacking(spark, d):
     rows, names = model_matrix(spark, d)
     return train.stacking_regressor(rows, names, C.TARGET).predict(rows).select("asset_id", "prediction")
@@ -539,7 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         percent_rank_rows, mutual_information, one_hot, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
-        partial_dependence, learning_curve, stacking, table_round_trips, nuclei_report, httpx_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
+        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, nuclei_report, httpx_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
     )
 }
 QUERIES["portfolio"] = portfolio_query

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from riskspark import constants as C
 from riskspark.functions.columns import clip, lenient_double, round_even, title_label
+from riskspark.operators.attribution import attribution_of, mllib_trees, ranked_contributions
 from riskspark.operators.train import LossModel
 
 INF = float("inf")
@@ -293,10 +294,15 @@ def add_scores(
     spread: str | None = None,
     currency: str = "USD",
     predicted: str = "predicted_loss",
+    explained: str | None = None,
 ) -> DataFrame:
-    """Export view plus the ten result columns for rows that carry ``predicted_loss``."""
+    """Export view plus the ten result columns for rows that carry ``predicted_loss``.
+
+    ``explained`` names an array of per-row attributions in the order of ``features``
+    (tree models); without it, value times importance stands for the contribution.
+    """
     features = list(features)
-    inputs = [c for c in df.columns if c not in {predicted, spread}]
+    inputs = [c for c in df.columns if c not in {predicted, spread, explained}]
     loss = F.col(predicted)
     doubt = uncertainty(
         loss,
@@ -304,7 +310,8 @@ def add_scores(
         float(metrics.get("mape") or 3.0),
         F.col(spread) if spread else None,
     )
-    staged = df.withColumns({"_doubt": doubt, "_why": contributions(importances)})
+    why = ranked_contributions(F.col(explained), features, {c: label_of(c) for c in features}) if explained else contributions(importances)
+    staged = df.withColumns({"_doubt": doubt, "_why": why})
     doubt, why = F.col("_doubt"), F.col("_why")
     return staged.select(
         *export_columns(df, inputs),
@@ -337,8 +344,19 @@ def predict_table(
         spread = "staged_spread"
         scored = staged_spread(model, scored, spread)
     importances = model.importances(coefficients=False) or {c: 1.0 for c in model.features}
+    explained = None
+    if is_tree_model(model.regressor):
+        # Path-dependent tree attributions of each row on the model's own input vector.
+        trees, weights = mllib_trees(model.regressor)
+        explained = "_attributions"
+        vectors = vector_to_array("features")
+        scored = model.prepared(scored).withColumn(explained, attribution_of(vectors, len(model.features), trees, weights)).drop("features")
     return add_scores(
-        scored, model.features, importances, metrics, profiles, as_of, check_thresholds(thresholds), spread, currency
+        scored, model.features, importances, metrics, profiles, as_of, check_thresholds(thresholds), spread, currency, explained=explained
     )
 
 
+def is_tree_model(regressor: Any) -> bool:
+    return type(regressor).__name__ in {"GBTRegressionModel", "RandomForestRegressionModel", "DecisionTreeRegressionModel"}
+
+
