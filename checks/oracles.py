@@ -679,6 +679,31 @@ def oracle_sql() -> dict[str, str]:
             "source_tool AS tech_stack, event_id % 2 = 0 AS tls, 'cdn' AS waf FROM finding",
             "finding",
         ),
+        "nuclei_rejects": chain(
+            "SELECT event_id, 'unreadable or mistyped record' AS reason, (SELECT count(*) FROM finding) AS records_read, "
+            "(SELECT count(*) FROM finding WHERE event_id % 7 = 0) AS records_rejected FROM finding WHERE event_id % 7 = 0",
+            "finding",
+        ),
+        "nuclei_checked": chain(
+            "SELECT asset_id, 'nuclei' AS source_tool, asset_id AS host, event_id::VARCHAR AS matched_at, source_tool AS template_id, upper(coalesce(severity, '')) AS severity, source_tool AS finding_name, 'a,b' AS tags FROM finding WHERE event_id % 7 <> 0",
+            "finding",
+        ),
+        "httpx_rejects": chain(
+            "SELECT event_id, 'unreadable or mistyped record' AS reason, (SELECT count(*) FROM finding) AS records_read, "
+            "(SELECT count(*) FROM finding WHERE event_id % 11 = 0) AS records_rejected FROM finding WHERE event_id % 11 = 0",
+            "finding",
+        ),
+        "nmap_report": chain(
+            "SELECT asset_id, asset_id AS ip_address, 'nmap' AS source_tool, coalesce(TRY_CAST(coalesce(port, '0') AS INT), 0) AS port, 'tcp' AS protocol, "
+            "'open' AS state, source_tool AS service, NULL::VARCHAR AS product, NULL::VARCHAR AS version FROM finding WHERE event_id % 13 <> 0 AND event_id % 17 <> 0",
+            "finding",
+        ),
+        "whatweb_report": chain(
+            "SELECT asset_id, 'whatweb' AS source_tool, asset_id AS url, event_id % 5 * 100 AS status_code, "
+            "CASE WHEN event_id % 4 = 0 THEN 'WordPress,' || source_tool ELSE source_tool END AS tech_stack, event_id % 4 = 0 AS cms_detected "
+            "FROM finding, (SELECT greatest(1, count(*) // 500) AS nb FROM finding) b WHERE ((event_id % nb) + nb) % nb % 9 <> 4",
+            "finding",
+        ),
         "naabu_report": chain("SELECT asset_id, event_id::VARCHAR AS ip_address, TRY_CAST(port AS INT) AS port, 'naabu' AS source_tool FROM finding", "finding"),
         "subfinder_report": chain("SELECT subdomain AS asset_id, 'subfinder' AS source_tool, subdomain FROM finding WHERE subdomain IS NOT NULL", "finding"),
         "stacked_findings": chain(

@@ -407,6 +407,79 @@ def httpx_report(spark, d):
     return scans.parse_httpx_jsonl(spark, path)
 
 
+BROKEN_NUCLEI, BROKEN_HTTPX, BROKEN_NMAP, UNCLOSED_NMAP = 7, 11, 13, 17
+
+
+def planted_nuclei(spark: SparkSession, d: str) -> str:
+    """The nuclei lines of nuclei_report, with every seventh event's line cut short."""
+    info = F.struct("severity", F.col("source_tool").alias("name"), F.array(F.lit("a"), F.lit("b")).alias("tags"))
+    fields = [F.col("asset_id").alias("host"), F.col("event_id").cast("string").alias("matched-at"), F.col("source_tool").alias("template-id"), info.alias("info")]
+    cut = F.concat(F.lit('{"host":"'), "asset_id", F.lit('","matched-at":"'), F.col("event_id").cast("string"), F.lit('","info":{'))
+    path = scratch_path(spark, "")
+    P.findings(spark, d).select(F.when(F.col("event_id") % BROKEN_NUCLEI == 0, cut).otherwise(F.to_json(F.struct(*fields))).alias("value")).write.text(path)
+    return path
+
+
+def rejects_of(checked: scans.Checked, pattern: str) -> DataFrame:
+    return checked.rejected.select(
+        F.regexp_extract("record", pattern, 1).cast("long").alias("event_id"), "reason",
+        F.lit(checked.counts["read"]).cast("long").alias("records_read"), F.lit(checked.counts["rejected"]).cast("long").alias("records_rejected"),
+    )
+
+
+def nuclei_rejects(spark, d):
+    return rejects_of(scans.read_nuclei_jsonl(spark, planted_nuclei(spark, d)), '"matched-at":"([0-9]+)"')
+
+
+def nuclei_checked(spark, d):
+    return scans.read_nuclei_jsonl(spark, planted_nuclei(spark, d)).rows
+
+
+def httpx_rejects(spark, d):
+    fields = [
+        F.when(F.col("event_id") % 3 > 0, F.col("asset_id")).otherwise("").alias("host"),
+        F.concat(F.lit("http://"), "asset_id").alias("url"),
+        (F.col("event_id") % 5 * 100).alias("status_code"),
+        F.col("severity").alias("title"),
+    ]
+    mistyped = F.concat(F.lit('{"host":"'), "asset_id", F.lit('","status_code":"n/a","title":"'), F.col("event_id").cast("string"), F.lit('"}'))
+    path = scratch_path(spark, "")
+    P.findings(spark, d).select(F.when(F.col("event_id") % BROKEN_HTTPX == 0, mistyped).otherwise(F.to_json(F.struct(*fields))).alias("value")).write.text(path)
+    return rejects_of(scans.read_httpx_jsonl(spark, path), '"title":"([0-9]+)"')
+
+
+def nmap_report(spark, d):
+    """Hosts written as Nmap XML, with mismatched tags in some and the end tag missing in others."""
+    port = F.coalesce(F.col("port"), F.lit("0"))
+    good = F.concat(
+        F.lit('<host><address addr="'), "asset_id", F.lit('" addrtype="ipv4"/><ports><port protocol="tcp" portid="'), port,
+        F.lit('"><state state="open"/><service name="'), "source_tool", F.lit('"/></port></ports></host>'),
+    )
+    mismatched = F.concat(F.lit('<host><address addr="'), "asset_id", F.lit('"/><ports><port portid="1"></ports></host>'))
+    unclosed = F.concat(F.lit('<host><address addr="'), "asset_id", F.lit('"/><ports><port portid="2"/></ports>'))
+    text = F.when(F.col("event_id") % BROKEN_NMAP == 0, mismatched).when(F.col("event_id") % UNCLOSED_NMAP == 0, unclosed).otherwise(good)
+    path = scratch_path(spark, ".xml")
+    P.findings(spark, d).select(text.alias("value")).write.text(path)
+    return scans.read_nmap_xml(spark, path).rows
+
+
+WHATWEB_FILE_ROWS, BROKEN_WHATWEB = 500, 9
+
+
+def whatweb_report(spark, d):
+    """Targets written as WhatWeb JSON arrays, one file per bucket of about 500; the arrays of some buckets are cut short."""
+    found = P.findings(spark, d)
+    buckets = max(1, found.count() // WHATWEB_FILE_ROWS)
+    plugins = F.when(F.col("event_id") % 4 == 0, F.create_map(F.lit("WordPress"), F.lit("4"), "source_tool", F.lit("x"))).otherwise(F.create_map("source_tool", F.lit("x")))
+    item = F.to_json(F.struct(F.col("asset_id").alias("target"), (F.col("event_id") % 5 * 100).alias("http_status"), plugins.alias("plugins")))
+    bucket = F.pmod("event_id", F.lit(buckets))
+    files = found.groupBy(bucket.alias("bucket")).agg(F.concat_ws(",", F.collect_list(item)).alias("items"))
+    text = F.concat(F.lit("["), "items", F.when(F.col("bucket") % BROKEN_WHATWEB == 4, F.lit("")).otherwise(F.lit("]")))
+    path = scratch_path(spark, "")
+    files.select(text.alias("value"), "bucket").repartition(buckets, "bucket").write.partitionBy("bucket").text(path)
+    return scans.read_whatweb_json(spark, path).rows
+
+
 def naabu_report(spark, d):
     path = scratch_path(spark, ".csv")
     P.findings(spark, d).select(F.col("asset_id").alias("host"), F.col("event_id").alias("ip"), "port").write.csv(path, header=True)
@@ -588,7 +661,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         percent_rank_rows, mutual_information, one_hot, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
-        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, nuclei_report, httpx_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
+        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
     )
 }
 QUERIES["portfolio"] = portfolio_query

@@ -1,15 +1,53 @@
 """Scanner reports as findings tables. A path may be one file or a folder of many.
 
-A report line or file that cannot be read fails the job instead of leaving a row of nulls.
+The ``parse_*`` readers fail the job on a report line or file that cannot be read
+instead of leaving a row of nulls. The ``read_*`` readers keep going: each parses once,
+writes the parse once (counting read and rejected records while writing), and returns
+the rows together with the rejected records, each with its file, its text and a reason.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark import constants as C
 from riskspark.functions.columns import strip
+from riskspark.session import materialize
+
+# Internal column names of the checked readers; report fields never start with them.
+CORRUPT, SOURCE = "__unreadable_record", "__source_file"
+UNREADABLE = "unreadable or mistyped record"
+UNCLOSED = "host element without its end tag"
+
+
+@dataclass
+class Checked:
+    """Rows of a report, its rejected records (file, record, reason) and the counts of the write."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def _checked(parsed: DataFrame, tag: str) -> Checked:
+    """Write a permissive parse once; rows and rejected records are read back from it."""
+    seen = Observation(f"{tag}-counts")
+    written = materialize(parsed.observe(seen, F.count(F.lit(1)).alias("read"), F.count(CORRUPT).alias("rejected")), tag)
+    counts = {k: int(v) for k, v in seen.get.items()}
+    rows = written.where(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE, "__reason")
+    reason = F.col("__reason") if "__reason" in written.columns else F.lit(UNREADABLE)
+    rejected = written.where(F.col(CORRUPT).isNotNull()).select(F.col(SOURCE).alias("file"), F.col(CORRUPT).alias("record"), reason.alias("reason"))
+    return Checked(rows, rejected, counts)
+
+
+def _permissive_json(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
+    full = T.StructType.fromDDL(schema).add(CORRUPT, T.StringType())
+    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path, multiLine=multi_line).withColumn(SOURCE, F.col("_metadata.file_path"))
 
 NMAP_HOST = (
     "address array<struct<_addr:string>>, "
@@ -37,13 +75,43 @@ def _joined(value: Column) -> Column:
 def parse_nmap_xml(spark: SparkSession, path: str, asset_id: str | None = None) -> DataFrame:
     """One row per host and port."""
     hosts = spark.read.format("xml").option("rowTag", "host").option("mode", "FAILFAST").schema(NMAP_HOST).load(path)
+    return nmap_rows(hosts, asset_id)
+
+
+def read_nmap_xml(spark: SparkSession, path: str, asset_id: str | None = None) -> Checked:
+    """Hosts and ports, and the host elements that could not be read.
+
+    The files are cut at every ``</host>`` (a splittable text read, so one large file is
+    read by many tasks); each piece is parsed as one host element on its own, so a broken
+    host costs only itself. A piece holding two host starts kept the first without its end
+    tag: that part is rejected, the last host of the piece is parsed.
+    """
+    pieces = spark.read.text(path, lineSep="</host>").select("value", F.col("_metadata.file_path").alias(SOURCE))
+    starts = F.filter(F.split("value", r"(?=<host[\s>])"), lambda p: p.rlike(r"^<host[\s>]"))
+    closed = F.when(F.size(starts) > 0, F.array(F.struct(F.element_at(starts, -1).alias("text"), F.lit(True).alias("closed"))))
+    unclosed = F.transform(F.slice(starts, 1, F.greatest(F.size(starts) - 1, F.lit(0))), lambda p: F.struct(p.alias("text"), F.lit(False).alias("closed")))
+    elements = pieces.select(SOURCE, F.explode(F.concat(unclosed, F.coalesce(closed, F.array().cast("array<struct<text:string,closed:boolean>>")))).alias("e"))
+    full = T.StructType.fromDDL(NMAP_HOST).add(CORRUPT, T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "rowTag": "host"}
+    host = F.from_xml(F.concat("e.text", F.lit("</host>")), full, options)
+    parsed = elements.select(SOURCE, "e.closed", F.when(F.col("e.closed"), host).alias("h"), "e.text").select(
+        SOURCE,
+        *[F.col("h")[f.name].alias(f.name) for f in T.StructType.fromDDL(NMAP_HOST).fields],
+        F.when(~F.col("closed"), F.col("text")).otherwise(F.col("h")[CORRUPT]).alias(CORRUPT),
+        F.when(~F.col("closed"), F.lit(UNCLOSED)).otherwise(F.lit(UNREADABLE)).alias("__reason"),
+    )
+    out = _checked(parsed, "nmap")
+    return Checked(nmap_rows(out.rows, asset_id), out.rejected, out.counts)
+
+
+def nmap_rows(hosts: DataFrame, asset_id: str | None = None) -> DataFrame:
     ip = F.col("address")[0]["_addr"]
     rows = hosts.select(ip.alias("ip_address"), F.explode("ports.port").alias("p"))
     return rows.select(
         (F.lit(asset_id) if asset_id else F.col("ip_address")).alias("asset_id"),
         "ip_address",
         F.lit("nmap").alias("source_tool"),
-        F.coalesce(F.col("p._portid").cast("int"), F.lit(0)).alias("port"),
+        F.coalesce(F.col("p._portid").try_cast("int"), F.lit(0)).alias("port"),
         F.col("p._protocol").alias("protocol"),
         F.col("p.state._state").alias("state"),
         F.col("p.service._name").alias("service"),
@@ -54,7 +122,16 @@ def parse_nmap_xml(spark: SparkSession, path: str, asset_id: str | None = None)
 
 def parse_nuclei_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One row per template match."""
-    items = spark.read.schema(NUCLEI).json(path, mode="FAILFAST")
+    return nuclei_rows(spark.read.schema(NUCLEI).json(path, mode="FAILFAST"))
+
+
+def read_nuclei_jsonl(spark: SparkSession, path: str) -> Checked:
+    """Template matches and the lines that could not be read."""
+    out = _checked(_permissive_json(spark, path, NUCLEI, False), "nuclei")
+    return Checked(nuclei_rows(out.rows), out.rejected, out.counts)
+
+
+def nuclei_rows(items: DataFrame) -> DataFrame:
     return items.select(
         F.coalesce(_given(F.col("host")), F.col("ip")).alias("asset_id"),
         F.lit("nuclei").alias("source_tool"),
@@ -69,7 +146,16 @@ def parse_nuclei_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_httpx_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One row per probed address; any TLS detail counts as TLS."""
-    items = spark.read.schema(HTTPX).json(path, mode="FAILFAST")
+    return httpx_rows(spark.read.schema(HTTPX).json(path, mode="FAILFAST"))
+
+
+def read_httpx_jsonl(spark: SparkSession, path: str) -> Checked:
+    """Probed addresses and the lines that could not be read."""
+    out = _checked(_permissive_json(spark, path, HTTPX, False), "httpx")
+    return Checked(httpx_rows(out.rows), out.rejected, out.counts)
+
+
+def httpx_rows(items: DataFrame) -> DataFrame:
     no_tls = F.lower(strip(F.coalesce("tls", F.lit("")))).isin("", "false", "0", "0.0", "{}", "[]", "null")
     return items.select(
         F.coalesce(_given(F.col("host")), F.col("url")).alias("asset_id"),
@@ -85,7 +171,16 @@ def parse_httpx_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_whatweb_json(spark: SparkSession, path: str) -> DataFrame:
     """One row per target; the file holds one object or an array of them."""
-    items = spark.read.schema(WHATWEB).json(path, multiLine=True, mode="FAILFAST")
+    return whatweb_rows(spark.read.schema(WHATWEB).json(path, multiLine=True, mode="FAILFAST"))
+
+
+def read_whatweb_json(spark: SparkSession, path: str) -> Checked:
+    """Targets and the files that could not be read (a file is one JSON document, rejected whole)."""
+    out = _checked(_permissive_json(spark, path, WHATWEB, True), "whatweb")
+    return Checked(whatweb_rows(out.rows), out.rejected, out.counts)
+
+
+def whatweb_rows(items: DataFrame) -> DataFrame:
     names = F.coalesce(F.map_keys("plugins"), F.array().cast("array<string>"))
     return items.select(
         F.col("target").alias("asset_id"),
