@@ -674,6 +674,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT asset_id, 'nuclei' AS source_tool, asset_id AS host, event_id::VARCHAR AS matched_at, source_tool AS template_id, upper(coalesce(severity, '')) AS severity, source_tool AS finding_name, 'a,b' AS tags FROM finding",
             "finding",
         ),
+        "csv_line_breaks": chain(
+            f"SELECT {row}, severity, concat_ws(chr(10), 'said \"no\"', severity, '') AS note, exploit_count FROM threat", "threat"
+        ),
         "httpx_report": chain(
             "SELECT CASE WHEN event_id % 3 > 0 THEN asset_id ELSE 'http://' || asset_id END AS asset_id, 'httpx' AS source_tool, 'http://' || asset_id AS url, event_id % 5 * 100 AS status_code, severity AS title, "
             "source_tool AS tech_stack, event_id % 2 = 0 AS tls, 'cdn' AS waf FROM finding",

@@ -383,6 +383,15 @@ def table_round_trips(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def csv_line_breaks(spark, d):
+    """Threat rows with line breaks and quotes in a text cell, written as one CSV file and read back by split records."""
+    rows = P.threats(spark, d).select(*ROW, "severity", F.concat_ws("\n", F.lit('said "no"'), "severity", F.lit("")).alias("note"), "exploit_count")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    path = scratch_path(spark, ".csv")
+    tables.write_table(rows.coalesce(1), path)
+    return tables.read_table(spark, path, kinds)
+
+
 def nuclei_report(spark, d):
     info = F.struct("severity", F.col("source_tool").alias("name"), F.array(F.lit("a"), F.lit("b")).alias("tags"))
     fields = [F.col("asset_id").alias("host"), F.col("event_id").cast("string").alias("matched-at"), F.col("source_tool").alias("template-id"), info.alias("info")]
@@ -661,7 +670,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         percent_rank_rows, mutual_information, one_hot, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
-        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
+        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, csv_line_breaks, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
     )
 }
 QUERIES["portfolio"] = portfolio_query

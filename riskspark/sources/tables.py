@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from riskspark import constants as C
 from riskspark.functions.columns import lenient_double, nan_to_null, present
+from riskspark.sources.splitcsv import read_csv_split
 
 # Number columns of raw threat rows that no later step reads leniently itself.
 THREAT_NUMBERS = ["days_since_published", "days_since_first_seen", "days_active", "asset_exposure_score"]
@@ -36,17 +37,19 @@ def require_path(spark: SparkSession, path: str) -> None:
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """parquet, csv, json (one array per file) or jsonl.
 
-    Prefer parquet or jsonl for large inputs: an array file is read by one task, and so is a
-    csv file, since quoted cells may hold line breaks. A folder of many csv files is spread.
-    With an explicit schema text formats need no extra pass to infer types.
-    NaN is read as null.
+    Prefer parquet or jsonl for large inputs: an array file is read by one task. A csv file
+    with a schema is read by many tasks even where quoted cells hold line breaks (see
+    ``splitcsv``); without one, types are inferred in a read of whole files. With an explicit
+    schema text formats need no extra pass to infer types. NaN is read as null.
     """
     suffix = suffix_of(path)
     reader = spark.read.schema(schema) if schema else spark.read
     if suffix == ".parquet":
         return nan_to_null(reader.parquet(path))
     if suffix == ".csv":
-        return nan_to_null(reader.csv(path, header=True, inferSchema=schema is None, escape='"', multiLine=True))
+        if schema:
+            return nan_to_null(read_csv_split(spark, path, schema))
+        return nan_to_null(reader.csv(path, header=True, inferSchema=True, escape='"', multiLine=True))
     if suffix in {".json", ".jsonl"}:
         return nan_to_null(reader.json(path, multiLine=suffix == ".json"))
     raise ValueError(f"Unsupported table format: {path}")
