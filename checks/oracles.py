@@ -674,6 +674,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT asset_id, 'nuclei' AS source_tool, asset_id AS host, event_id::VARCHAR AS matched_at, source_tool AS template_id, upper(coalesce(severity, '')) AS severity, source_tool AS finding_name, 'a,b' AS tags FROM finding",
             "finding",
         ),
+        "category_codes": chain(
+            f"SELECT c.asset_id, c.cve_id, c.tie_a, c.tie_b, c.name, c.value, coalesce(k.code, -1) AS code FROM "
+            f"(SELECT {row}, unnest([{{'name': 'cve_id', 'value': cve_id}}, {{'name': 'severity', 'value': severity}}], recursive := true) FROM threat) c "
+            "LEFT JOIN (SELECT name, value, dense_rank() OVER (PARTITION BY name ORDER BY value) - 1 AS code FROM "
+            "(SELECT DISTINCT name, value FROM (SELECT unnest([{'name': 'cve_id', 'value': cve_id}, {'name': 'severity', 'value': severity}], recursive := true) FROM threat) WHERE value IS NOT NULL)) k "
+            "ON k.name = c.name AND k.value = c.value",
+            "threat",
+        ),
         "csv_line_breaks": chain(
             f"SELECT {row}, severity, concat_ws(chr(10), 'said \"no\"', severity, '') AS note, exploit_count FROM threat", "threat"
         ),

@@ -271,6 +271,12 @@ def one_hot(spark, d):
     return coded.withColumnRenamed("severity_medium ", "severity_medium")
 
 
+def category_codes(spark, d):
+    """Dense codes of every cve_id and severity of the threat rows, in long form."""
+    rows = P.threats(spark, d).select(*ROW, "severity")
+    return features.coded_cells(rows, ROW, ["cve_id", "severity"])
+
+
 def robust_scale(spark, d):
     columns = ["cvss_score", "epss_score", "asset_exposure_score"]
     rows = P.threats(spark, d).select(*ROW, *columns)
@@ -667,7 +673,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         impute_neighbours, impute_medians, impute_defaults, null_report, threat_features, threat_scaled, asset_aggregate,
         threat_job, pentest_features, pentest_job, loss_job, merge_tables, integrity_report, top_assets, asset_accepted,
         asset_rejected, asset_enrich, asset_summary, model_profile, model_quality, correlations, cyber_features,
-        percent_rank_rows, mutual_information, one_hot, robust_scale, feature_profile, regression_metrics,
+        percent_rank_rows, mutual_information, one_hot, category_codes, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
         partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, csv_line_breaks, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,

@@ -10,8 +10,11 @@ from pyspark.sql import types as T
 
 from riskspark import constants as C
 from riskspark.functions.columns import clip, finite_or_null
-from riskspark.functions.ordering import SMALL_DISTINCT, average_percent_rank
-from riskspark.session import materialize
+from riskspark.functions.ordering import SMALL_DISTINCT, average_percent_rank, running_total
+from riskspark.session import lookup, materialize
+
+# Values per column that may become columns of their own; wider columns go to the long form.
+MAX_COLUMN_VALUES = 1000
 
 
 def _known(df: DataFrame, name: str) -> Column:
@@ -87,12 +90,13 @@ def build_cyber_features(df: DataFrame, rank: bool = True, small: int = SMALL_DI
 
 
 def one_hot_encode(
-    df: DataFrame, target: str = C.SOURCE_TARGET, exclude: Iterable[str] = ("asset_id",), max_values: int | None = None
+    df: DataFrame, target: str = C.SOURCE_TARGET, exclude: Iterable[str] = ("asset_id",), max_values: int | None = MAX_COLUMN_VALUES
 ) -> DataFrame:
     """Replace text and boolean columns by one boolean column per value plus one for null.
 
-    Values become columns. With ``max_values``, a column that has more (an id, free
-    text) is refused, never cut; put such columns in ``exclude``.
+    Values become columns, so their names pass the driver: a column with more than
+    ``max_values`` values (an id, free text) is refused, never cut; exclude it or encode it
+    in the long form of :func:`coded_cells`, whose values never leave the executors.
     """
     skip = {target, *exclude}
     kinds = (T.StringType, T.BooleanType)
@@ -121,6 +125,35 @@ def one_hot_encode(
     return df.select(*[c for c in df.columns if c not in gone], *encoded)
 
 
+def category_codes(df: DataFrame, columns: Iterable[str], small: int = SMALL_DISTINCT) -> DataFrame:
+    """Dictionary (name, value, code) of the non-null values of text columns: dense codes from 0
+    per column in value order.
+
+    Codes are ranks taken by range: values are range-partitioned, each range counted, and
+    offsets of the ranges added (``running_total``), so no column's values meet in one task
+    and none reach the driver. Written once.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
+    found = materialize(df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct().withColumn("one", F.lit(1)), "categories")
+    return materialize(running_total(found, "one", order="value", group="name", small=small).select("name", "value", F.col("before").cast("long").alias("code")), "codes")
+
+
+def coded_cells(df: DataFrame, keys: Iterable[str], columns: Iterable[str], small: int = SMALL_DISTINCT) -> DataFrame:
+    """One-hot in long form: (keys..., name, value, code) per row and encoded column.
+
+    The wide boolean table is this table pivoted; a null cell has code -1 (the ``_nan``
+    column). The dictionary is broadcast only within its counted bound; beyond it the
+    join shuffles and AQE splits a skewed value, and null cells stay out of the join.
+    """
+    keys, columns = list(keys), list(columns)
+    dictionary = category_codes(df, columns, small)
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = df.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.name", "c.value")
+    known = long.where("value IS NOT NULL").join(lookup(dictionary), ["name", "value"])
+    missing = long.where("value IS NULL").withColumn("code", F.lit(-1).cast("long"))
+    return known.select(*keys, "name", "value", "code").unionByName(missing)
+
+
 def hash_share(seed: int, key: str = "asset_id", purpose: str = "split") -> Column:
     """A stable number in [0, 1) per key; the same after any repartitioning.
 

@@ -259,8 +259,12 @@ _REDUCERS = {
 DISTINCT_COUNTS = {"cve_id": "unique_cve_count", "threat_actor": "unique_threat_actor_count"}
 
 
-def observed_severities(df: DataFrame, most: int | None = None) -> list[str]:
-    """The severity words in a table. They become columns; with ``most``, more words are refused, never cut."""
+# Severity words that may become columns of their own; more are refused, never cut.
+MAX_SEVERITY_WORDS = 64
+
+
+def observed_severities(df: DataFrame, most: int | None = MAX_SEVERITY_WORDS) -> list[str]:
+    """The severity words in a table. They become columns, so at most ``most`` of them pass the driver; more are refused, never cut."""
     words = df.where(F.col("severity").isNotNull()).select("severity").distinct()
     found = (words if most is None else words.limit(most + 1)).collect()
     if most is not None and len(found) > most:
