@@ -765,7 +765,7 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT {rounded('cvss_score * 10', 2)}, epss_score, NULL, tie_a, tie_b FROM threat WHERE exploit_count IS NULL",
             "threat",
         ),
-        } | {"tree_attributions": tree_attributions_sql()}
+        } | {"tree_attributions": tree_attributions_sql(), "linear_cv_one": linear_cv_sql(False), "linear_cv_two": linear_cv_sql(True)}
 
 
 def tree_attributions_sql() -> str:
@@ -821,3 +821,36 @@ SELECT r.l_orderkey, r.l_linenumber,
   {settled("(SELECT phi FROM phi WHERE phi.rid = r.rid AND phi.i = 2)", 6, "phi_discount")}
 FROM r
 """
+
+
+def linear_cv_sql(two: bool) -> str:
+    """Folds as in hash_fold (md5 of 'fold:<seed>:<key>'), each fitted on the rows of the other folds."""
+    x2 = ", l_discount AS x2" if two else ""
+    fit = (
+        "(var_pop(t.x2) * covar_pop(t.x, t.y) - covar_pop(t.x, t.x2) * covar_pop(t.x2, t.y)) / (var_pop(t.x) * var_pop(t.x2) - covar_pop(t.x, t.x2) ^ 2) AS b1, "
+        "(var_pop(t.x) * covar_pop(t.x2, t.y) - covar_pop(t.x, t.x2) * covar_pop(t.x, t.y)) / (var_pop(t.x) * var_pop(t.x2) - covar_pop(t.x, t.x2) ^ 2) AS b2, "
+        "avg(t.x) AS mx, avg(t.x2) AS mx2, avg(t.y) AS my"
+        if two
+        else "regr_slope(t.y, t.x) AS b1, 0.0 AS b2, avg(t.x) AS mx, 0.0 AS mx2, avg(t.y) AS my"
+    )
+    second = "f.x2" if two else "0.0"
+    err = f"(f.y - (m.my - m.b1 * m.mx - m.b2 * m.mx2) - m.b1 * f.x - m.b2 * {second})"
+    return f"""
+WITH r AS (
+  SELECT l_orderkey AS k, l_quantity AS x{x2}, l_extendedprice / 1000 AS y FROM lineitem
+  WHERE l_orderkey IS NOT NULL AND l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL{" AND l_discount IS NOT NULL" if two else ""}
+), f AS (
+  SELECT r.*, t.rep,
+    CAST(floor(CAST(('0x' || substr(md5(concat_ws(':', 'fold', CAST(42 + t.rep AS VARCHAR), CAST(k AS VARCHAR))), 1, 8)) AS UBIGINT) / 4294967296.0 * 5) AS INTEGER) AS fold
+  FROM r, (SELECT range AS rep FROM range(2)) t
+), m AS (
+  SELECT v.rep, v.fold, count(*) AS n_train, {fit}
+  FROM (SELECT DISTINCT rep, fold FROM f) v JOIN f t ON t.rep = v.rep AND t.fold <> v.fold
+  GROUP BY v.rep, v.fold
+)
+SELECT CAST(m.rep AS INTEGER) AS repeat, m.fold, m.n_train, count(*) AS n_valid,
+  {settled(f"sqrt(avg({err} ^ 2))", 4, "rmse")},
+  {settled(f"1 - sum({err} ^ 2) / (sum(f.y * f.y) - sum(f.y) ^ 2 / count(*))", 4, "r2")}
+FROM m JOIN f ON f.rep = m.rep AND f.fold = m.fold
+GROUP BY m.rep, m.fold, m.n_train, m.b1, m.b2, m.mx, m.mx2, m.my
+"""

@@ -13,7 +13,7 @@ from checks import oracles as O
 from checks import proxies as P
 from riskspark import constants as C
 from riskspark.functions.ordering import average_percent_rank
-from riskspark.operators import assets, attribution, features, impute, loss, merge, pentest, profile, scale, score, select, threat, train
+from riskspark.operators import assets, attribution, features, gramcv, impute, loss, merge, pentest, profile, scale, score, select, threat, train
 from riskspark.plans import jobs
 from riskspark.session import materialize, shared_folder
 from riskspark.sources import scans, tables
@@ -661,6 +661,25 @@ def shap_importance(spark, d):
     return spark.createDataFrame(data, "feature string, mean_abs_shap double, base_value double, max_additivity_gap double")
 
 
+def line_items(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
+    return rows.select("l_orderkey", "l_quantity", "l_discount", (F.col("l_extendedprice") / 1000).alias("price"))
+
+
+def shown_cv(out: DataFrame) -> DataFrame:
+    return out.select("repeat", "fold", "n_train", "n_valid", settle("rmse", 4), settle("r2", 4))
+
+
+def linear_cv_one(spark, d):
+    """Least squares of price on quantity, five folds by order, two repeats, from one pass of sums."""
+    return shown_cv(gramcv.cross_validate_linear(spark, line_items(spark, d), ["l_quantity"], "price", folds=5, repeats=2, key="l_orderkey"))
+
+
+def linear_cv_two(spark, d):
+    """As linear_cv_one with quantity and discount."""
+    return shown_cv(gramcv.cross_validate_linear(spark, line_items(spark, d), ["l_quantity", "l_discount"], "price", folds=5, repeats=2, key="l_orderkey"))
+
+
 def stacking(spark, d):
     rows, names = model_matrix(spark, d)
     return train.stacking_regressor(rows, names, C.TARGET).predict(rows).select("asset_id", "prediction")
@@ -676,7 +695,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         percent_rank_rows, mutual_information, one_hot, category_codes, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
-        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, table_round_trips, csv_line_breaks, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
+        partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, linear_cv_one, linear_cv_two, table_round_trips, csv_line_breaks, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
     )
 }
 QUERIES["portfolio"] = portfolio_query
