@@ -183,7 +183,7 @@ def loss_job(spark, d):
 
 def merge_tables(spark, d):
     parts = [rolled(spark, d), jobs.pentest_job(P.findings(spark, d)), jobs.asset_job(P.assets(spark, d))[0]]
-    merged = merge.merge_on_asset_id([materialize(p, "part") for p in parts])
+    merged = merge.merge_on_asset_id([materialize(p, "part", key="asset_id") for p in parts])
     return merged.select("asset_id", "vuln_count", "finding_count", "pentest_risk_grade", "asset_type")
 
 

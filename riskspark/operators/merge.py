@@ -17,7 +17,13 @@ def require_key(df: DataFrame, key: str = "asset_id") -> None:
 
 
 def has_rows(df: DataFrame, key: str = "asset_id") -> bool:
-    """Whether a table has rows, whose keys must be there: one aggregate over the key alone."""
+    """Whether a table has rows, whose keys must be there: one aggregate over the key alone,
+    or none for a table written with counts of that key (``materialize(..., key=)``)."""
+    stats = getattr(df, "stats", None)
+    if stats is not None and getattr(df, "_stats_key", None) == key:
+        if stats["missing_key"]:
+            raise ValueError(f"Null values found in key column: {key}")
+        return stats["rows"] > 0
     if key not in df.columns:
         if df.isEmpty():
             return False

@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
@@ -67,18 +67,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _FOLDERS[application]
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, key: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several passes follow an expensive stage. The written table
     survives the loss of executors, cuts the lineage and, being Parquet, lets
-    each later pass read only the columns it needs.
+    each later pass read only the columns it needs. With ``key``, the rows and the
+    rows without a key are counted while writing (``DataFrame.observe``) and kept as
+    ``stats`` of the returned table, so that no later job has to count them.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    seen = None
+    if key is not None and key in df.columns:
+        seen = Observation(f"{tag}-{uuid.uuid4().hex}")
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("missing_key"))
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
+    if seen is not None:
+        out.stats = {k: int(v) for k, v in seen.get.items()}
+        out._stats_key = key
     return out
 
 

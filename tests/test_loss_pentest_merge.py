@@ -132,3 +132,20 @@ def test_integrity_report(spark):
     assert rows(merge.integrity_report(a)) == [{"rows": 4, "columns": 2, "missing_key": 2, "duplicate_keys": 2, "null_cells": 4}]
     assert rows(merge.integrity_report(a.where("false")))[0]["rows"] == 0
     assert rows(merge.integrity_report(a.drop("asset_id")))[0]["duplicate_keys"] is None
+
+
+def test_written_tables_carry_counts_and_skip_count_jobs(spark):
+    from riskspark.operators import merge
+    from riskspark.session import materialize
+
+    a = materialize(spark.createDataFrame([("x", 1), ("y", 2)], "asset_id string, v int"), "part", key="asset_id")
+    b = materialize(spark.createDataFrame([("x", 3)], "asset_id string, w int"), "part", key="asset_id")
+    empty = materialize(spark.createDataFrame([], "asset_id string, u int"), "part", key="asset_id")
+    bad = materialize(spark.createDataFrame([(None, 3)], "asset_id string, w int"), "part", key="asset_id")
+    assert a.stats == {"rows": 2, "missing_key": 0} and empty.stats["rows"] == 0
+    assert sorted(tuple(r) for r in merge.merge_on_asset_id([a, empty, b]).collect()) == [("x", 1, 3), ("y", 2, None)]
+    try:
+        merge.merge_on_asset_id([a, bad])
+        raise AssertionError("a null key must be refused")
+    except ValueError:
+        pass
