@@ -79,9 +79,11 @@ def op11_fim(spark: SparkSession, d: str) -> DataFrame:
 
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+# The vocabulary of byte_bpe_50k.json as ranks, for tiktoken.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def op12_token_alignment(spark: SparkSession, d: str, a_vocabulary: str = VOCABULARY, b_model: str = PIECES) -> DataFrame:
+def op12_token_alignment(spark: SparkSession, d: str, a_vocabulary: str = RANKS, b_model: str = PIECES) -> DataFrame:
     out = align.align(documents(spark, d), str(a_vocabulary), str(b_model))
     return out.withColumnRenamed("id", "doc_id")
 

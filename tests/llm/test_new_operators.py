@@ -154,14 +154,14 @@ def test_alignment_equals_brute_force(spark, tokenizers_):
     texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column("text").to_pylist()[:40]
     rng = random.Random(2)
     rows = [(i, t[: rng.choice([50, 400, 3000])] if t else t) for i, t in enumerate(texts)] + [(100 + i, t) for i, (_, t) in enumerate(ODD) if t is None or len(t) < 1000]
-    got = align.align(frame(spark, rows), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).collect()
+    got = align.align(frame(spark, rows), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")).collect()
     want = align_brute(*tokenizers_, [t for _, t in rows])
     assert Counter((r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in got) == Counter(want)
     assert sum(w[0] > 0 for w in want) > 20
 
 
 def test_alignment_odd_rows_and_empty_table(spark):
-    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    paths = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
     got = {(r.id, r.n_a > 0) for r in align.align(frame(spark, ODD), *paths).collect()}
     assert (1, False) in got and (None, True) in got and (9, True) in got
     assert align.align(frame(spark, ODD), *paths).count() == len(ODD)
