@@ -341,6 +341,34 @@ SELECT {place(c)} AS x, {place(target)} AS y, count(*)::DOUBLE AS n FROM priced_
     )
 
 
+
+def psi_sql(n: str) -> str:
+    """Digamma for n >= 1, the same series as the library's: six recurrence steps, then asymptotics."""
+    m = f"(CAST({n} AS DOUBLE) + 6.0)"
+    steps = " + ".join(f"1.0 / (CAST({n} AS DOUBLE) + {j}.0)" for j in range(6))
+    return f"(ln({m}) - 0.5 / {m} - {1.0 / 12!r} / ({m} * {m}) + {1.0 / 120!r} / pow({m}, 4) - {1.0 / 252!r} / pow({m}, 6) - ({steps}))"
+
+
+def neighbour_sql(k: int = 3) -> str:
+    """Brute force: every pair of rows, the k-th smallest distance by sorting, counts by comparing with all rows."""
+    target = "expected_annual_loss_usd"
+    parts = []
+    for c in INFORMED:
+        parts.append(f"""SELECT '{c}' AS feature, {settled(f"CASE WHEN max(n) > {k} THEN greatest({psi_sql('max(n)')} + {psi_sql(str(k))} - avg({psi_sql('nx + 1')}) - avg({psi_sql('ny + 1')}), 0) END", 6, "mutual_information")}, CAST(max(n) AS BIGINT) AS rows FROM (
+WITH b AS (SELECT CAST({c} AS DOUBLE) AS x, CAST({target} AS DOUBLE) AS y FROM priced_raw
+  WHERE isfinite(CAST({c} AS DOUBLE)) AND isfinite(CAST({target} AS DOUBLE))),
+s AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my,
+  CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS sx, CASE WHEN stddev_pop(y) > 0 THEN stddev_pop(y) ELSE 1 END AS sy FROM b),
+p AS (SELECT row_number() OVER () AS i, round((x - mx) / sx, 9) AS u, round((y - my) / sy, 9) AS v FROM b, s),
+e AS (SELECT a.i, a.u, a.v, list_sort(list(greatest(abs(o.u - a.u), abs(o.v - a.v))))[{k}] AS eps
+  FROM p a JOIN p o ON a.i <> o.i GROUP BY a.i, a.u, a.v),
+c AS (SELECT e.i,
+  (SELECT count(*) FROM p WHERE CASE WHEN e.eps > 0 THEN p.u > e.u - e.eps AND p.u < e.u + e.eps ELSE p.u = e.u END) - 1 AS nx,
+  (SELECT count(*) FROM p WHERE CASE WHEN e.eps > 0 THEN p.v > e.v - e.eps AND p.v < e.v + e.eps ELSE p.v = e.v END) - 1 AS ny
+  FROM e)
+SELECT c.nx, c.ny, s.n FROM c, s)""")
+    return " UNION ALL ".join(parts)
+
 def profile_sql(columns: list[str]) -> str:
     q = lambda c, p: f"quantile_cont(CAST({c} AS DOUBLE), {p!r})"
     return " UNION ALL ".join(
@@ -643,6 +671,7 @@ def oracle_sql() -> dict[str, str]:
             "threat",
         ),
         "mutual_information": chain(information_sql(), "priced_raw"),
+        "neighbour_information": chain(neighbour_sql(), "priced_raw"),
         "one_hot": chain(
             f"SELECT {row}, " + ", ".join(f"coalesce(severity = '{w}', false) AS severity_{w.strip()}" for w in ["Critical", "HIGH", "NONE", "low"])
             + ", coalesce(severity = 'medium ', false) AS severity_medium, severity IS NULL AS severity_nan FROM threat",
