@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import io
+import os
 import re
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
@@ -67,6 +70,43 @@ def shared_folder(spark: SparkSession) -> str:
     return _FOLDERS[application]
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession, packages: Iterable[str] = ("riskspark", "checks"), modules: Iterable[str] = ()) -> None:
+    """Send the Python sources of ``packages`` and top-level ``modules`` to the executors, once per application.
+
+    The zip is built in memory on the driver and written to the shared folder through the
+    cluster's file system, so Python workers import the same code however the session was
+    started. Packages or modules that are absent (a removed subpackage) are left out.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for package in packages:
+            for folder, _, names in os.walk(os.path.join(root, package)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, root))
+        for module in modules:
+            full = os.path.join(root, f"{module}.py")
+            if os.path.exists(full):
+                archive.write(full, f"{module}.py")
+    target = f"{shared_folder(spark)}/code-{uuid.uuid4().hex}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(bytearray(buffer.getvalue()))
+    finally:
+        stream.close()
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(application)
+
+
 def materialize(df: DataFrame, tag: str, key: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
