@@ -369,6 +369,30 @@ c AS (SELECT e.i,
 SELECT c.nx, c.ny, s.n FROM c, s)""")
     return " UNION ALL ".join(parts)
 
+
+def root_split_sql(bins: int = 8, lam: float = 1.0, min_hessian: float = 1.0) -> str:
+    """Second-order gain of every border of every feature at the root; the largest wins."""
+    steps = "[" + ", ".join(f"{i / bins!r}" for i in range(1, bins)) + "]"
+    target = "expected_annual_loss_usd"
+    rows = f"(SELECT * FROM priced_raw WHERE {target} IS NOT NULL)"
+    edge = lambda c: f"(SELECT list_distinct(quantile_cont(CAST({c} AS DOUBLE), {steps})) FROM {rows})"
+    place = lambda c: f"CASE WHEN {c} IS NULL THEN -1 ELSE len(list_filter({edge(c)}, lambda e: CAST({c} AS DOUBLE) > e)) END"
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS feature, {place(c)} AS bin, g FROM grad" for c in INFORMED)
+    score = lambda g, h: f"({g}) * ({g}) / (({h}) + {lam!r})"
+    return f"""SELECT * FROM (WITH base AS (SELECT avg(CAST({target} AS DOUBLE)) AS m FROM {rows}),
+grad AS (SELECT r.*, base.m - CAST(r.{target} AS DOUBLE) AS g FROM {rows} r, base),
+sse AS (SELECT sum(g * g) AS e FROM grad),
+hist AS (SELECT feature, bin, sum(g) AS g, count(*)::DOUBLE AS h FROM ({cells}) GROUP BY feature, bin),
+cum AS (SELECT feature, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+  sum(g) OVER (PARTITION BY feature) AS gt, sum(h) OVER (PARTITION BY feature) AS ht
+  FROM hist WINDOW w AS (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cand AS (SELECT feature, bin, hl, ht - hl AS hr,
+  {score("gl", "hl")} + {score("gt - gl", "ht - hl")} - {score("gt", "ht")} AS gain
+  FROM cum WHERE hl >= {min_hessian!r} AND ht - hl >= {min_hessian!r})
+SELECT CAST(1 AS BIGINT) AS node, feature, bin, CAST(hl AS BIGINT) AS left_rows, CAST(hr AS BIGINT) AS right_rows,
+  {settled("gain / CASE WHEN e > 0 THEN e ELSE 1 END", 6, "gain_share")}
+FROM cand, sse WHERE gain > 0 ORDER BY gain DESC, feature, bin LIMIT 1)"""
+
 def profile_sql(columns: list[str]) -> str:
     q = lambda c, p: f"quantile_cont(CAST({c} AS DOUBLE), {p!r})"
     return " UNION ALL ".join(
@@ -672,6 +696,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "mutual_information": chain(information_sql(), "priced_raw"),
         "neighbour_information": chain(neighbour_sql(), "priced_raw"),
+        "second_order_split": chain(root_split_sql(), "priced_raw"),
         "one_hot": chain(
             f"SELECT {row}, " + ", ".join(f"coalesce(severity = '{w}', false) AS severity_{w.strip()}" for w in ["Critical", "HIGH", "NONE", "low"])
             + ", coalesce(severity = 'medium ', false) AS severity_medium, severity IS NULL AS severity_nan FROM threat",

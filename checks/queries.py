@@ -13,7 +13,7 @@ from checks import oracles as O
 from checks import proxies as P
 from riskspark import constants as C
 from riskspark.functions.ordering import average_percent_rank
-from riskspark.operators import assets, attribution, features, gramcv, impute, loss, merge, neighbours, pentest, profile, scale, score, select, threat, train
+from riskspark.operators import assets, attribution, boost, features, gramcv, impute, loss, merge, neighbours, pentest, profile, scale, score, select, threat, train
 from riskspark.plans import jobs
 from riskspark.session import materialize, shared_folder
 from riskspark.sources import scans, tables
@@ -266,6 +266,12 @@ def mutual_information(spark, d):
     return found.select("feature", settle("mutual_information", 6))
 
 
+def second_order_split(spark, d):
+    rows = materialize(priced(spark, d).select(*O.INFORMED, TARGET), "priced")
+    found = boost.root_split(rows, O.INFORMED, TARGET, bins=8, lam=1.0, min_hessian=1.0)
+    return found.select("node", "feature", "bin", "left_rows", "right_rows", settle("gain_share", 6))
+
+
 def neighbour_information(spark, d):
     rows = materialize(priced(spark, d).select(*O.INFORMED, TARGET), "priced")
     found = neighbours.neighbour_information(rows, O.INFORMED, TARGET, k=3)
@@ -698,7 +704,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         impute_neighbours, impute_medians, impute_defaults, null_report, threat_features, threat_scaled, asset_aggregate,
         threat_job, pentest_features, pentest_job, loss_job, merge_tables, integrity_report, top_assets, asset_accepted,
         asset_rejected, asset_enrich, asset_summary, model_profile, model_quality, correlations, cyber_features,
-        percent_rank_rows, mutual_information, neighbour_information, one_hot, category_codes, robust_scale, feature_profile, regression_metrics,
+        percent_rank_rows, mutual_information, neighbour_information, second_order_split, one_hot, category_codes, robust_scale, feature_profile, regression_metrics,
         prediction_intervals, loss_histogram, prediction_scores, prediction_rejects, export_view, data_split,
         forest_importance, feature_selection, leaderboard, predict_table, staged_spread, permutation_importance,
         partial_dependence, learning_curve, stacking, tree_attributions, shap_importance, linear_cv_one, linear_cv_two, table_round_trips, csv_line_breaks, nuclei_report, httpx_report, nuclei_rejects, nuclei_checked, httpx_rejects, nmap_report, whatweb_report, naabu_report, subfinder_report, stacked_findings, merge_kinds, plain_regressor, line_model, fold_sizes, loss_histogram_log, loss_wide, loss_custom_costs,
