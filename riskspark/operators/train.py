@@ -128,7 +128,7 @@ def fit_model(
 
 def random_forest(trees: int = 300, depth: int | None = None, min_leaf: int = 1, seed: int = 42) -> Estimator:
     return RandomForestRegressor(
-        numTrees=trees, maxDepth=depth or MAX_DEPTH, minInstancesPerNode=min_leaf, seed=seed, featureSubsetStrategy="all"
+        numTrees=trees, maxDepth=depth or MAX_DEPTH, minInstancesPerNode=min_leaf, seed=seed, featureSubsetStrategy="all", cacheNodeIds=True
     )
 
 
