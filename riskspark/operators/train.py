@@ -435,11 +435,14 @@ def stacking_regressor(
     def fitted(rows: DataFrame) -> dict[str, Transformer]:
         return {n: e.copy().setFeaturesCol("_features").fit(rows) for n, e in bases.items()}
 
-    parts = [with_base_predictions(data.where(place == i), fitted(data.where(place != i))) for i in range(folds)]
+    # Each fold is written as soon as it is predicted, so at most two folds' models are held at a time.
+    def predicted(i: int) -> DataFrame:
+        return materialize(with_base_predictions(data.where(place == i), fitted(data.where(place != i))).drop("_features"), "stack")
+
+    parts = in_parallel(df.sparkSession, [partial(predicted, i) for i in range(folds)], 2)
     unseen = parts[0]
     for part in parts[1:]:
         unseen = unseen.unionByName(part)
-    unseen = materialize(unseen.drop("_features"), "stack")
     stacked = VectorAssembler(inputCols=[f"_base_{n}" for n in bases], outputCol="_stack").transform(unseen)
     # The penalty is per row here, while alpha counts once for all rows.
     top = PenalisedLinear(ridge / max(stacked.count(), 1), 0.0, features_col="_stack")
