@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -253,6 +254,52 @@ def test_passages_of_frequent_lines_are_found(spark, n):
     assert whole == set(range(2 * n + 1, 3 * n))
 
 
+def test_fuzzy_passages_of_frequent_phrases_meet_every_holder(spark):
+    """All equal 4-mers of the passage have more than 16 occurrences, and its first holder is not among the first two of any."""
+    rng = random.Random(3)
+    phrases = [[f"p{i}x{k}" for k in range(5)] for i in range(10)]
+
+    def spaced(chosen, tag):
+        return [w for i, phrase in enumerate(chosen) for w in (*phrase, f"{tag}y{i}")]
+
+    rows = [(20 * i + k, " ".join([text_of(rng, 10), *spaced(phrases[i : i + 4], f"d{i}x{k}"), text_of(rng, 10)])) for i in range(7) for k in range(20)]
+    rows += [(900 + k, " ".join([text_of(rng, 10), *spaced(phrases, f"f{k}"), text_of(rng, 10)])) for k in range(3)]
+    found = {(r["id"], r["source_id"]): r for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    assert set(found) == {(901, 900), (902, 900), (902, 901)}
+    assert all((r["start"], r["end"], r["source_start"], r["matched"]) == (10, 69, 10, 50) for r in found.values())
+
+
+def test_tiles_and_their_parts_find_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    line = text_of(rng, 45)
+    rows = []
+    for i in range(40):
+        tail = text_of(rng, 12).split(" ")
+        rows += [(2 * i, " ".join([text_of(rng, 15), line, *tail])), (2 * i + 1, " ".join([line, f"new{i}", *tail[1:], text_of(rng, 9)]))]
+    names = chains.NAMES[2:]
+    whole = {(r["id"], r["source_id"], *[r[c] for c in names]) for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    monkeypatch.setattr(chains, "TILE_WORDS", 1500)
+    assert whole == {(r["id"], r["source_id"], *[r[c] for c in names]) for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    assert {(2 * i + 1, 2 * i) for i in range(40)} <= {r[:2] for r in whole}
+    texts = [np.array([zlib.crc32(w.encode()) >> 1 for w in t.split(" ")], np.int32) for _, t in rows]
+    sides = [chains.Side(np.arange(80), np.zeros(80, np.int32), texts, pad) for pad in (0, 1)]
+    at_once = sorted(chains.compared(*sides, True, 50, 80))
+    monkeypatch.setattr(chains, "TILE_RUNS", 300)
+    assert at_once and sorted(chains.compared(*sides, True, 50, 80)) == at_once
+    halves = [chains.Side(np.arange(80)[s], np.zeros(40, np.int32), texts[s], pad) for pad, s in enumerate((slice(0, 80, 2), slice(1, 80, 2)))]
+    apart = sorted(chains.compared(*halves, False, 50, 80))
+    assert apart == [p for p in at_once if (p[0] + p[1]) % 2]
+
+
+def test_texts_of_many_copies_meet_their_first(spark):
+    rng = random.Random(4)
+    text, other = text_of(rng, 70), text_of(rng, 70)
+    rows = [(i, text) for i in range(18)] + [(30, " ".join([text_of(rng, 20), text])), (31, other), (32, other)] + [(40 + i, text_of(rng, 20)) for i in range(3)] * 9
+    found = [(r["id"], r["source_id"], r["start"], r["end"], r["matched"]) for r in chains.repeated_passages(frame(spark, rows[:21])).collect()]
+    assert sorted(found) == [*[(i, 0, 0, 70, 70) for i in range(1, 18)], (30, 0, 20, 90, 70), (32, 31, 0, 70, 70)]
+    assert chains.repeated_passages(frame(spark, rows)).where("id >= 40").count() == 0
+
+
 def test_passages_on_odd_rows(odd, none):
     chains.repeated_passages(odd).collect()
     assert chains.without_repeats(odd).count() == len(ODD)
