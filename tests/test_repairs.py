@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskspark import session as S
 from riskspark.operators import assets, features, loss, merge, scale, score, threat, train
+from riskspark.plans import jobs
 from riskspark.sources import scans, tables
 
 
@@ -164,3 +165,28 @@ def test_robust_scale_takes_dotted_names(spark):
     rows = spark.createDataFrame([(float(i), float(i)) for i in range(5)], "`x.y` double, z double")
     scaled = scale.robust_scale(rows)[0]
     assert sorted(r["x.y"] for r in scaled.collect()) == [-1.0, -0.5, 0.0, 0.5, 1.0]
+
+
+def test_the_portfolio_spreads_its_inventory(spark, monkeypatch):
+    """One small inventory file is enriched by many tasks; the checks are not moved back before the spreading."""
+    inventory = spark.range(400).select(F.concat(F.lit("ASSET-"), "id").alias("asset_id"), F.lit("1.1.1.1").alias("host")).coalesce(1)
+    got = []
+    monkeypatch.setattr(jobs, "asset_job", lambda df: got.append(df) or (df, None))
+    monkeypatch.setattr(jobs, "threat_job", lambda *a, **k: inventory.select("asset_id"))
+    monkeypatch.setattr(jobs, "pentest_job", lambda df: df)
+    monkeypatch.setattr(jobs, "loss_job", lambda df: df)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = jobs.portfolio_job(inventory, inventory.select("asset_id"), inventory, "2024-02-01T00:00:00Z")
+        assert len(got[0].inputFiles()) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert {r["asset_id"] for r in out.collect()} == {f"ASSET-{i}" for i in range(400)}
+
+
+def test_tie_columns_go_once_they_have_decided(spark):
+    rows = spark.createDataFrame([("a", "c", 1, 5.0), ("a", "c", 2, 7.0)], "asset_id string, cve_id string, tie int, cvss_score double")
+    kept = jobs.clean_threats(rows, "2024-02-01T00:00:00Z", ["tie"], jobs.ROLLED_UP)
+    assert "tie" not in kept.columns and [r["cvss_score"] for r in kept.collect()] == [7.0]
+    assert "tie" in jobs.clean_threats(rows, "2024-02-01T00:00:00Z", ["tie"]).columns
