@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from riskspark.llm import bpe, brown, chains, chat, common, jaccard, leaks, licenses, rules, suffix, toxicity
+from riskspark.session import materialize
 
 WORDS = [f"w{i}" for i in range(400)]
 COLUMNS = "doc_id long, text string, row long, id string, cls int, n int, pos int, seed long, term string, key long, start int"
@@ -291,6 +292,29 @@ def test_tiles_and_their_parts_find_the_same(spark, monkeypatch):
     assert apart == [p for p in at_once if (p[0] + p[1]) % 2]
 
 
+def test_shared_seeds_are_packed_and_complete(spark, monkeypatch):
+    """Seeds travel once, packed; a bucket does not grow with a seed that one text, or every text, holds very often."""
+    rng = random.Random(2)
+    line = text_of(rng, 8)
+    texts = [" ".join([text_of(rng, 30), line, text_of(rng, 20)]) for _ in range(60)] + ["again " * 300, "again " * 40, "alone " * 300, None, "", "a b c", text_of(rng, 9)]
+    texts += [texts[0], texts[-1]]
+    held: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        for pos in range(len(words) - 3):
+            held.setdefault(tuple(words[pos : pos + 4]), []).append((i, pos))
+    wanted = Counter((i, pos, len(places) <= chains.FEW) for places in held.values() if len({i for i, _ in places}) > 1 for i, pos in places)
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string").coalesce(1)
+    monkeypatch.setattr(chains, "CHUNK_WORDS", 200)
+    monkeypatch.setattr(chains, "BUCKET_BYTES", 4000)
+    shared = materialize(chains.shared_seeds(rows), "shared")
+    assert Counter(tuple(r) for r in chains.occurrences(shared).collect()) == wanted
+    packs = chains.packed(rows, 4).collect()
+    assert sum(len(p["places"]) // 4 for p in packs if p["kind"] != chains.OFTEN) == sum(map(len, held.values()))
+    # Six bytes of a hash, and places of rows that take no room where they are equal.
+    assert all(len(p["seeds"]) == 6 * len(p["places"]) // 4 for p in packs if p["kind"] != chains.LOOSE)
+
+
 def test_texts_of_many_copies_meet_their_first(spark):
     rng = random.Random(4)
     text, other = text_of(rng, 70), text_of(rng, 70)
