@@ -31,6 +31,7 @@ from riskspark.session import discard, materialize
 SLOTS = 1 << 18
 BINS = 256  # ranges of the hash over which the suffix filter compares two sets
 PER_CENT = 80
+SLICE = 250  # texts that a task turns into Python objects and hashes at once
 
 
 def shingle_set(raw: bytes | None, cache: K.WordHashes, size: int) -> np.ndarray:
@@ -42,18 +43,24 @@ def slots(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(20)) & np.uint64(SLOTS - 1)
 
 
+def counted(batches, size: int):
+    """(slot, n) of the counters that the texts of a task meet; ``SLICE`` texts are hashed at once."""
+    cache, total = K.WordHashes(), np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            met = [slots(shingle_set(raw, cache, size)) for raw in batch.column(0).slice(at, SLICE).to_pylist()]
+            total += np.bincount(np.concatenate(met).astype(np.int64), minlength=SLOTS)
+    found = np.flatnonzero(total)
+    for at in range(0, len(found), 1 << 16):
+        part = found[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["slot", "n"])
+
+
 def rarity(rows: DataFrame, size: int) -> np.ndarray:
     """How often each counter of the sketch is met, over every document."""
 
     def count(batches):
-        cache, total = K.WordHashes(), np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            met = [slots(shingle_set(raw, cache, size)) for raw in batch.column(0).to_pylist()]
-            total += np.bincount(np.concatenate(met).astype(np.int64), minlength=SLOTS) if met else 0
-        found = np.flatnonzero(total)
-        for at in range(0, len(found), 1 << 16):
-            part = found[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["slot", "n"])
+        yield from counted(batches, size)
 
     table = rows.select(F.col("text").cast("binary")).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     out = np.zeros(SLOTS, np.int64)
@@ -74,10 +81,10 @@ def signatures(rows: DataFrame, size: int, per_cent: int) -> DataFrame:
         cache = K.WordHashes()
 
         def step(batch: pa.RecordBatch):
-            texts = batch.column(2).to_pylist()
-            for at in range(0, len(texts), 1000):
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 cls, sizes, bins, prefixes = [], [], [], []
-                for raw in texts[at : at + 1000]:
+                for raw in part.column(2).to_pylist():
                     h = shingle_set(raw, cache, size)
                     n = len(h)
                     cls.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())))) if n else None)
@@ -85,7 +92,6 @@ def signatures(rows: DataFrame, size: int, per_cent: int) -> DataFrame:
                     bins.append(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=BINS))
                     first = h[np.lexsort((h, counts.value[slots(h).astype(np.int64)]))][: prefix_length(n, per_cent)] if n else h
                     prefixes.append(K.signed(first))
-                part = batch.slice(at, 1000)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(cls, pa.int64()), pa.array(sizes, pa.int64()), K.lists(bins, pa.int32()), K.lists(prefixes, pa.int64())],
                     names=["row", "id", "cls", "n", "bins", "prefix"],
@@ -172,10 +178,12 @@ def verified(pairs: DataFrame, rows: DataFrame, signs: DataFrame, size: int, per
 
         def step(batch: pa.RecordBatch):
             good = []
-            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = of(ta), of(tb)
-                shared = len(x) + len(y) - len(np.union1d(x, y))
-                good.append(100 * shared >= per_cent * (len(x) + len(y) - shared))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                for ta, tb in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    x, y = of(ta), of(tb)
+                    shared = len(x) + len(y) - len(np.union1d(x, y))
+                    good.append(100 * shared >= per_cent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
         return step

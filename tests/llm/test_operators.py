@@ -5,11 +5,13 @@ import json
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -330,6 +332,20 @@ def test_passages_on_odd_rows(odd, none):
     assert chains.repeated_passages(none).count() == 0 and chains.without_repeats(none).count() == 0
 
 
+def test_rarity_holds_few_texts_at_once():
+    """One Arrow batch may hold ten thousand texts; their shingles are not held together."""
+    rng = random.Random(6)
+    texts = [None, "", *[text_of(rng, 300).encode() for _ in range(2500)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    wanted = Counter(int(s) for raw in texts for s in jaccard.slots(jaccard.shingle_set(raw, common.WordHashes(), 5)))
+    tracemalloc.start()
+    found = [out.to_pydict() for out in jaccard.counted([batch], 5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {s: n for out in found for s, n in zip(out["slot"], out["n"], strict=True)} == wanted
+    assert peak < 12 << 20
+
+
 # --- 2 ------------------------------------------------------------------------------
 
 
