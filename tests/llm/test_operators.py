@@ -339,9 +339,10 @@ def test_rarity_holds_few_texts_at_once():
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
     wanted = Counter(int(s) for raw in texts for s in jaccard.slots(jaccard.shingle_set(raw, common.WordHashes(), 5)))
     tracemalloc.start()
-    found = [out.to_pydict() for out in jaccard.counted([batch], 5)]
+    batches = list(jaccard.counted([batch], 5))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
+    found = [out.to_pydict() for out in batches]
     assert {s: n for out in found for s, n in zip(out["slot"], out["n"], strict=True)} == wanted
     assert peak < 12 << 20
 
