@@ -601,6 +601,67 @@ def test_exchange_finds_classes_that_alternate():
     assert len({cls[0], cls[2], cls[4]}) == 1 and len({cls[1], cls[3], cls[5]}) == 1 and cls[0] != cls[1]
 
 
+def test_gains_are_differences_of_the_likelihood():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 4, (9, 9)) * (rng.random((9, 9)) < 0.6)
+    cls = np.array([0, 1, 2, 0, 1, 2, 0, 3, -1])  # the last word has no class yet
+
+    def likelihood(of):
+        member = np.zeros((9, 4))
+        member[np.flatnonzero(of >= 0), of[of >= 0]] = 1
+        pair = member.T @ counts @ member
+        return brown.xlogx(pair).sum() - brown.xlogx(pair.sum(axis=0)).sum() - brown.xlogx(pair.sum(axis=1)).sum()
+
+    member = np.zeros((9, 4))
+    member[np.arange(8), cls[:8]] = 1
+    words = np.array([0, 1, 4, 7, 8])
+    bare = counts - np.diag(np.diag(counts))
+    found = brown.gains(member.T @ counts @ member, (bare @ member)[words], (bare.T @ member)[words], np.diag(counts)[words].astype(float), cls[words])
+    for w, row in zip(words, found, strict=True):
+        wanted = [likelihood(np.where(np.arange(9) == w, b, cls)) for b in range(4)]
+        assert row - row[0] == pytest.approx(np.array(wanted) - wanted[0])
+
+
+def test_words_outside_the_clustered_are_placed_by_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(brown, "BUCKET_TOKENS", 200)
+    rng = random.Random(8)
+    texts = []
+    for _ in range(120):
+        words = []
+        for _ in range(rng.randrange(2, 7)):
+            words += [rng.choice(["la", "lo", "li"]), rng.choice(["ta", "to", "ti"])]
+        texts.append(" ".join(words))
+    # Words of one shape; which slot they stand in tells their class. The last two stand beside each other only.
+    texts += [f"la {w} li" for w in ("fex", "fix", "fox") for _ in range(3)] + [f"ta {w} to" for w in ("gex", "gix", "gox") for _ in range(3)] + ["fex hex", "gex hix"]
+    model, words = brown.train(spark.createDataFrame([(t,) for t in texts], "text string"), classes=2, clustered=7)
+    cls = {r["word"]: r["cls"] for r in words.collect()}
+    of = lambda w: cls[int(common.signed(common.hash_words([w.encode()], common.WordHashes()))[0])]
+    assert {of(w) for w in ("la", "lo", "li", "gex", "gix", "gox", "hex")} == {of("la")}
+    assert {of(w) for w in ("ta", "to", "ti", "fex", "fix", "fox", "hix")} == {of("ta")}
+    assert of("la") != of("ta") and cls[brown.END_HASH] == 2 == model.n_classes - 1
+    # The score, by hand.
+    counts = Counter(w for t in texts for w in t.split())
+    place = lambda w: of(w) if counts[w] else int(model.unknown[brown.shape(w.encode())])
+    tokens, held, moves = Counter(), Counter(), Counter()
+    for w, n in counts.items():
+        tokens[of(w)] += n
+        held[of(w)] += 1
+    for t in texts:
+        listed = [2, *[of(w) for w in t.split()], 2]
+        moves.update(zip(listed, listed[1:]))
+    asked = ["la fex lo", "gox ta unseen", "", "hix hex !?"]
+    table = spark.createDataFrame([(i, i, t) for i, t in enumerate(asked)], "row long, id long, text string")
+    got = {r["row"]: r["score"] for r in brown.scores(table, model, words).collect()}
+    for i, t in enumerate(asked):
+        listed = [2, *[place(w) for w in t.split()], 2]
+        want = sum(math.log10((moves[a, b] + 0.1) / (sum(moves[a, c] for c in range(3)) + 0.3)) for a, b in zip(listed, listed[1:]))
+        want += sum(math.log10((counts[w] + 0.1) / (tokens[place(w)] + 0.1 * (held[place(w)] + 1))) for w in t.split())
+        assert got[i] == pytest.approx(want)
+
+
 def test_scores_on_odd_rows(odd, none):
     got = brown.score_documents(odd).collect()
     assert len(got) == len(ODD) and all(math.isfinite(r["score"]) for r in got)
