@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from riskspark import constants as C
 from riskspark.functions.columns import clip, lenient_double, round_even, title_label
 from riskspark.operators.attribution import attribution_of, mllib_trees, ranked_contributions
+from riskspark.operators.forest import ROW, GrownForest, dealt
 from riskspark.operators.train import LossModel
+from riskspark.session import materialize
 
 INF = float("inf")
 
@@ -351,6 +353,11 @@ def predict_table(
         explained = "_attributions"
         vectors = vector_to_array("features")
         scored = model.prepared(scored).withColumn(explained, attribution_of(vectors, len(model.features), trees, weights)).drop("features")
+    elif isinstance(model.regressor, GrownForest):
+        explained = "_attributions"
+        named = materialize(model.prepared(scored).withColumn(ROW, F.monotonically_increasing_id()), "explained")
+        sums = model.regressor.attributions(materialize(dealt(named, vector_to_array("features")), "explained-rows"))
+        scored = named.drop("features").join(sums.withColumnRenamed("sums", explained), ROW).drop(ROW)
     return add_scores(
         scored, model.features, importances, metrics, profiles, as_of, check_thresholds(thresholds), spread, currency, explained=explained
     )

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Transformer
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +20,7 @@ from riskspark import constants as C
 from riskspark.functions.columns import numeric_columns
 from riskspark.functions.ordering import quantiles
 from riskspark.operators.features import hash_fold, hash_share
+from riskspark.operators.forest import Forest, GrownForest
 from riskspark.operators.scale import Scaler, or_one
 from riskspark.session import in_parallel, materialize
 
@@ -91,14 +92,18 @@ class LossModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Regressor and preprocessor under one folder."""
-        PipelineModel([self.regressor]).write().overwrite().save(f"{path}/regressor")
+        grown = isinstance(self.regressor, GrownForest)
+        if grown:
+            self.regressor.save(f"{path}/forest")
+        else:
+            PipelineModel([self.regressor]).write().overwrite().save(f"{path}/regressor")
         rows = [
-            (i, c, self.target, self.log_target, self.preprocessor.fills[c], *self.preprocessor.scaler.params[c][1:])
+            (i, c, self.target, self.log_target, self.preprocessor.fills[c], *self.preprocessor.scaler.params[c][1:], grown)
             if self.preprocessor
-            else (i, c, self.target, self.log_target, None, None, None)
+            else (i, c, self.target, self.log_target, None, None, None, grown)
             for i, c in enumerate(self.features)
         ]
-        schema = "place int, feature string, target string, logged boolean, fill double, shift double, scale double"
+        schema = "place int, feature string, target string, logged boolean, fill double, shift double, scale double, grown boolean"
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/preprocessor")
 
     @staticmethod
@@ -108,7 +113,10 @@ class LossModel:
         if rows[0]["shift"] is not None:
             fills = {r["feature"]: r["fill"] for r in rows}
             pre = Preprocessor(fills, Scaler({r["feature"]: ("robust", r["shift"], r["scale"]) for r in rows}))
-        regressor = PipelineModel.load(f"{path}/regressor").stages[0]
+        if "grown" in rows[0] and rows[0]["grown"]:
+            regressor = GrownForest.load(spark, f"{path}/forest")
+        else:
+            regressor = PipelineModel.load(f"{path}/regressor").stages[0]
         return LossModel([r["feature"] for r in rows], rows[0]["target"], pre, regressor, rows[0]["logged"])
 
 
@@ -127,7 +135,7 @@ def fit_model(
 
 
 def random_forest(trees: int = 300, depth: int | None = None, min_leaf: int = 1, seed: int = 42) -> Estimator:
-    return RandomForestRegressor(
+    return Forest(
         numTrees=trees, maxDepth=depth or MAX_DEPTH, minInstancesPerNode=min_leaf, seed=seed, featureSubsetStrategy="all", cacheNodeIds=True
     )
 
