@@ -326,6 +326,30 @@ def test_texts_of_many_copies_meet_their_first(spark):
     assert chains.repeated_passages(frame(spark, rows)).where("id >= 40").count() == 0
 
 
+def test_long_periodic_texts_are_aligned_run_by_run(monkeypatch):
+    import time
+
+    import numpy as np
+
+    def pair(a, b):
+        sides = [chains.Side(np.array([1, 2]), np.array([0, 0]), [a, b], pad) for pad in (0, 1)]
+        return list(chains.compared(*sides, True, 50, 80))
+
+    same = np.full(8_000, 7, np.int64)
+    begun = time.monotonic()
+    found = pair(same, same)
+    assert time.monotonic() - begun < 30  # eight million matches, chained one by one, took minutes
+    shifts = {(2, 1, max(0, d), 8_000 + min(0, d), max(0, -d), 8_000 - max(0, d), 8_000 - abs(d)) for d in range(-7_950, 7_951)}
+    assert set(found) == shifts and len(found) == len(shifts)
+    # A change of a word: the alignment goes on beyond it and no run within it is aligned again.
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 30, 400)
+    b = a.copy()
+    b[[100, 250]] += 1
+    monkeypatch.setattr(chains, "PAIR_MATCHES", 0)
+    assert pair(a, b) == [(2, 1, 0, 400, 0, 400, 398)]
+
+
 def test_passages_on_odd_rows(odd, none):
     chains.repeated_passages(odd).collect()
     assert chains.without_repeats(odd).count() == len(ODD)
