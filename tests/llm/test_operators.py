@@ -326,6 +326,25 @@ def test_texts_of_many_copies_meet_their_first(spark):
     assert chains.repeated_passages(frame(spark, rows)).where("id >= 40").count() == 0
 
 
+def test_steps_over_edits_by_force():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    met = 0
+    for _ in range(3000):
+        a, b = (rng.integers(0, 3, rng.integers(0, 15)) for _ in range(2))
+        held = [(dx, dy) for dx in range(9) for dy in range(9) if dx or dy if len(a[dx : dx + 3]) == 3 == len(b[dy : dy + 3]) and (a[dx : dx + 3] == b[dy : dy + 3]).all()]
+        wanted = min(held, key=lambda s: (max(s), abs(s[0] - s[1]), sum(s), s[0]), default=None)
+        assert chains.step_over(a[:11], b[:11]) == wanted
+        same = next((i for i, (u, v) in enumerate(zip(a, b)) if u != v), min(len(a), len(b)))
+        assert chains.equal_words(a, b) == same
+        met += wanted is not None
+    assert 500 < met < 3000
+    x, y = np.arange(5_000), np.arange(5_000)
+    y[4_321] = -1
+    assert (chains.equal_words(x, y), chains.equal_words(x, x), chains.equal_words(x, x[:100])) == (4_321, 5_000, 100)
+
+
 def test_long_periodic_texts_are_aligned_run_by_run(monkeypatch):
     import time
 
