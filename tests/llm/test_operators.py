@@ -345,6 +345,24 @@ def test_steps_over_edits_by_force():
     assert (chains.equal_words(x, y), chains.equal_words(x, x), chains.equal_words(x, x[:100])) == (4_321, 5_000, 100)
 
 
+def test_tiles_meet_all_texts_however_they_are_cut(spark, monkeypatch):
+    """Groups are compared where they lie: the same passages for any size of groups and broadcasts, and when matches overflow."""
+    rng = random.Random(12)
+    phrase = text_of(rng, 70)
+    rows = [(i, " ".join([text_of(rng, rng.randrange(5, 40)), phrase, text_of(rng, 10)])) for i in range(24)]
+
+    def found():
+        return sorted((r["id"], r["source_id"], r["start"], r["end"], r["matched"]) for r in chains.repeated_passages(frame(spark, rows)).collect())
+
+    whole = found()
+    assert {(a, b) for a, b, *_ in whole} == {(a, b) for a in range(24) for b in range(a)}
+    for words, at_once, matches in ((400, 2, 1 << 22), (700, 9, 40), (1 << 20, 1, 20)):
+        monkeypatch.setattr(chains, "TILE_WORDS", words)
+        monkeypatch.setattr(chains, "TILES_AT_ONCE", at_once)
+        monkeypatch.setattr(chains, "TILE_RUNS", matches)
+        assert found() == whole
+
+
 def test_long_periodic_texts_are_aligned_run_by_run(monkeypatch):
     import time
 
